@@ -47,9 +47,9 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """The rows of `docs` that stay, all columns unchanged; a row that repeats an id and text stays once, null ids stay once per text.
+    """The rows of `docs` that stay, all columns unchanged. Rows that repeat a kept id and its text stay together.
 
     The ids of the dropped rows decide, not those of the kept ones, since they are fewer.
     """
     gone = duplicate_classes(docs, id_col, text_col, keep).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti").dropDuplicates([id_col])
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")

@@ -4,11 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import common, exact_dedup, sharding
+from . import common, exact_dedup, language, packing, sharding
 
 UPPER, LOWER = common.UPPER, common.UPPER.lower()
 
 
+def fold(k: int):
+    """crc32 of the doc_id as text, modulo k."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % k
+
+
+def op5_ppm_language(spark, sf_dir):
+    """Every document's predicted language; those whose fold of five is 0 are never learned from."""
+    docs = common.table(spark, sf_dir, "documents")
+    texts = language.training_texts(docs, fold(5) != 0)
+    found = language.identified(docs.select("doc_id", (fold(5) == 0).alias("held_out"), "text"), texts)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def tokenizer() -> str:
+    """The vocabulary file of the packing query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_genetic_packing(spark, sf_dir):
+    """Every token piece of every document, its sequence and its place there."""
+    return packing.pack_documents(common.table(spark, sf_dir, "documents"), tokenizer(), 2048, 0)
+
+
 def op9_rendezvous_sharding(spark, sf_dir):
     """Every document's shard of 40, its place there, and its shard of 41."""
     docs = common.table(spark, sf_dir, "documents")
@@ -31,7 +56,7 @@ FROM t WINDOW g AS (PARTITION BY body)
 
 def queries():
     """Queries by name."""
-    return {"op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {"op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
 
 
 def oracle_sql():
