@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import common, exact_dedup, language, packing, sharding
+from . import common, exact_dedup, language, packing, search, sharding, toxicity
 
 UPPER, LOWER = common.UPPER, common.UPPER.lower()
 
@@ -34,6 +34,20 @@ def op6_genetic_packing(spark, sf_dir):
     return packing.pack_documents(common.table(spark, sf_dir, "documents"), tokenizer(), 2048, 0)
 
 
+def op7_subsequence_toxicity(spark, sf_dir):
+    """Every document's chance of being toxic; labels of fold 1 of three are never learned."""
+    docs = common.table(spark, sf_dir, "documents")
+    texts, labels = toxicity.training_rows(docs, common.table(spark, sf_dir, "labels"), fold(3) != 1)
+    found = toxicity.scored(docs.select("doc_id", (fold(3) == 1).alias("held_out"), "text"), texts, labels)
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op8_rotated_codes(spark, sf_dir):
+    """The ten vectors nearest to each of every hundredth vector."""
+    vectors = common.table(spark, sf_dir, "embeddings")
+    return search.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
 def op9_rendezvous_sharding(spark, sf_dir):
     """Every document's shard of 40, its place there, and its shard of 41."""
     docs = common.table(spark, sf_dir, "documents")
@@ -56,7 +70,7 @@ FROM t WINDOW g AS (PARTITION BY body)
 
 def queries():
     """Queries by name."""
-    return {"op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {"op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
 
 
 def oracle_sql():
