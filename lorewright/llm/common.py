@@ -78,3 +78,21 @@ def shipped(spark: SparkSession) -> None:
 def hex_number(text: Column, digits: int) -> Column:
     """The first `digits` (15 at most) hex digits of md5(text) as a long: a hash that any SQL engine reproduces."""
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
+
+
+def attached(rows: DataFrame, table: DataFrame, key: str, count: str, limit: int, spread: str) -> DataFrame:
+    """`rows` left-joined to `table` on `key` (unique in `table`, no other column in common), with no task that holds a hot key's rows.
+
+    `count` is the number of rows of a key: keys over `limit` (rows / limit of them at most, which the caller chooses small) are
+    broadcast; the rest meet in a shuffle, in which the rows that have found their key already are dealt by column `spread`.
+    """
+    others = [c for c in table.columns if c != key]
+    hot = F.broadcast(table.where(F.col(count) > limit).select(F.col(key).alias("_hk"), *[F.col(c).alias(f"_h_{c}") for c in others]))
+    cold = table.where(F.col(count) <= limit).select(F.col(key).alias("_ck"), *[F.col(c).alias(f"_c_{c}") for c in others])
+    kind = dict(rows.dtypes)[key]
+    other = F.xxhash64(F.col(spread))
+    other = F.unhex(F.hex(other)) if kind == "binary" else other.cast(kind)
+    rows = rows.join(hot, F.col(key) == F.col("_hk"), "left")
+    rows = rows.withColumn("_k", F.when(F.col(f"_h_{count}").isNull(), F.col(key)).otherwise(other)).join(cold, F.col("_k") == F.col("_ck"), "left")
+    found = [F.when(F.col(f"_h_{count}").isNotNull(), F.col(f"_h_{c}")).otherwise(F.col(f"_c_{c}")).alias(c) for c in others]
+    return rows.select(*[c for c in rows.columns if not c.startswith(("_h", "_c", "_k"))], *found)

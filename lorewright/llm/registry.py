@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import common, exact_dedup, language, packing, search, sharding, toxicity
+from . import common, exact_dedup, jaccard, language, packing, search, sharding, toxicity
 
 UPPER, LOWER = common.UPPER, common.UPPER.lower()
 
@@ -14,6 +14,11 @@ def fold(k: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % k
 
 
+def op3_ngram_jaccard(spark, sf_dir):
+    """Every document's shingle count and component of near duplicates."""
+    return jaccard.classes_of_near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def op5_ppm_language(spark, sf_dir):
     """Every document's predicted language; those whose fold of five is 0 are never learned from."""
     docs = common.table(spark, sf_dir, "documents")
@@ -70,7 +75,7 @@ FROM t WINDOW g AS (PARTITION BY body)
 
 def queries():
     """Queries by name."""
-    return {"op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {"op3_ngram_jaccard": op3_ngram_jaccard, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
 
 
 def oracle_sql():
