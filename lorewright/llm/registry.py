@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import common, exact_dedup, jaccard, language, packing, search, sharding, toxicity
+from . import common, exact_dedup, jaccard, language, mixing, packing, search, sharding, toxicity
 
 UPPER, LOWER = common.UPPER, common.UPPER.lower()
 
 
+#: Targets of the mixture, as shares of all tokens; what isn't listed divides the rest by its tokens.
+MARGINS = {
+    "source": {"src0": 0.15, "src1": 0.08},
+    "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
+    "topic": {"brief": 0.05, "article": 0.6, "book": 0.35},
+}
+
+
 def fold(k: int):
     """crc32 of the doc_id as text, modulo k."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % k
 
 
+def op2_raked_mixture(spark, sf_dir):
+    """Every document's cell, calibrated rate and copies in a mixture of half the corpus's tokens."""
+    found = mixing.calibrated(common.table(spark, sf_dir, "documents"), MARGINS, 0.5)
+    return found.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), F.round("_rate", 6).alias("rate"), F.col("_copies").alias("copies"))
+
+
 def op3_ngram_jaccard(spark, sf_dir):
     """Every document's shingle count and component of near duplicates."""
     return jaccard.classes_of_near_duplicates(common.table(spark, sf_dir, "documents"))
@@ -73,11 +87,43 @@ FROM t WINDOW g AS (PARTITION BY body)
 """
 
 
+def mixture_sql(sweeps: int = mixing.SWEEPS * mixing.ROUNDS) -> str:
+    """The mixture's SQL: the sweeps are a recursive query over the cells."""
+    wants, joins = [], []
+    for name, listed in MARGINS.items():
+        cases = " ".join(f"WHEN {name} = '{value}' THEN {share}::DOUBLE" for value, share in listed.items())
+        left = max(0.0, 1.0 - sum(listed.values()))
+        wants.append(f"""
+{name}_0 AS (SELECT {name}, sum(tokens)::DOUBLE AS n, CASE {cases} END AS want FROM cells GROUP BY {name}),
+{name}_1 AS (SELECT {name}, coalesce(want, n / sum(n) FILTER (want IS NULL) OVER () * {left!r}) AS want FROM {name}_0),
+{name}_t AS (SELECT {name}, want / sum(want) OVER () AS t_{name} FROM {name}_1),""")
+        joins.append(f"JOIN {name}_t USING ({name})")
+    inner = "source, lang, topic, t_source, t_lang, t_topic, tokens, total"
+    step = "raked WHERE k < " + str(sweeps)
+    for name in MARGINS:
+        step = f"(SELECT {inner}, k, w * t_{name} * total / sum(w) OVER (PARTITION BY {name}) AS w FROM {step})"
+    return f"""
+WITH RECURSIVE marked AS (
+  SELECT doc_id, coalesce(source, 'none') AS source, coalesce(lang, 'none') AS lang,
+    greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1) AS tokens FROM documents),
+named AS (SELECT *, CASE WHEN tokens < 60 THEN 'brief' WHEN tokens < 600 THEN 'article' ELSE 'book' END AS topic FROM marked),
+cells AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM named GROUP BY ALL),{"".join(wants)}
+raked AS (
+  SELECT {inner.replace(", total", "")}, sum(tokens) OVER ()::DOUBLE AS total, 0 AS k, tokens::DOUBLE AS w FROM cells {" ".join(joins)}
+  UNION ALL
+  SELECT {inner}, k + 1, w FROM {step}),
+rates AS (SELECT source, lang, topic, w / tokens * 0.5 AS rate FROM raked WHERE k = {sweeps})
+SELECT n.doc_id, n.source, n.lang, n.topic, n.tokens, round(r.rate, 6) AS rate,
+  (floor(r.rate) + (((('0x' || substr(md5('mix:' || coalesce(n.doc_id::VARCHAR, '')), 1, 12))::BIGINT + 0.5) / 281474976710656.0) < r.rate - floor(r.rate))::INTEGER)::BIGINT AS copies
+FROM named n JOIN rates r USING (source, lang, topic)
+"""
+
+
 def queries():
     """Queries by name."""
-    return {"op3_ngram_jaccard": op3_ngram_jaccard, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {"op2_raked_mixture": op2_raked_mixture, "op3_ngram_jaccard": op3_ngram_jaccard, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
 
 
 def oracle_sql():
     """DuckDB SQL by query name, where SQL can express it."""
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op2_raked_mixture": mixture_sql(), "op10_exact_dedup": OP10_SQL}
