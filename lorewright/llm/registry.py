@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import common, exact_dedup, jaccard, language, mixing, packing, search, sharding, toxicity
+from . import common, exact_dedup, jaccard, language, mixing, packing, search, secrets, sharding, toxicity
 
 UPPER, LOWER = common.UPPER, common.UPPER.lower()
 
@@ -22,6 +22,12 @@ def fold(k: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % k
 
 
+def op1_secret_scan(spark, sf_dir):
+    """Every candidate string of every document and the forest's verdict."""
+    found = secrets.scanned(common.table(spark, sf_dir, "documents"), secrets.trained(spark))
+    return found.select("doc_id", "begin", F.length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"), F.round("chance", 6).alias("chance"), "is_secret")
+
+
 def op2_raked_mixture(spark, sf_dir):
     """Every document's cell, calibrated rate and copies in a mixture of half the corpus's tokens."""
     found = mixing.calibrated(common.table(spark, sf_dir, "documents"), MARGINS, 0.5)
@@ -121,7 +127,7 @@ FROM named n JOIN rates r USING (source, lang, topic)
 
 def queries():
     """Queries by name."""
-    return {"op2_raked_mixture": op2_raked_mixture, "op3_ngram_jaccard": op3_ngram_jaccard, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {"op1_secret_scan": op1_secret_scan, "op2_raked_mixture": op2_raked_mixture, "op3_ngram_jaccard": op3_ngram_jaccard, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
 
 
 def oracle_sql():
