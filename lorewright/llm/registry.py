@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import common, exact_dedup, jaccard, language, mixing, packing, search, secrets, sharding, toxicity
+from . import common, exact_dedup, jaccard, language, lines, mixing, packing, search, secrets, sharding, toxicity
 
 UPPER, LOWER = common.UPPER, common.UPPER.lower()
 
@@ -39,6 +39,11 @@ def op3_ngram_jaccard(spark, sf_dir):
     return jaccard.classes_of_near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark, sf_dir):
+    """Every document's number of lines, of lines kept, and the numbers of the lines dropped."""
+    return lines.dropped_lines(common.table(spark, sf_dir, "documents"))
+
+
 def op5_ppm_language(spark, sf_dir):
     """Every document's predicted language; those whose fold of five is 0 are never learned from."""
     docs = common.table(spark, sf_dir, "documents")
@@ -127,7 +132,7 @@ FROM named n JOIN rates r USING (source, lang, topic)
 
 def queries():
     """Queries by name."""
-    return {"op1_secret_scan": op1_secret_scan, "op2_raked_mixture": op2_raked_mixture, "op3_ngram_jaccard": op3_ngram_jaccard, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {"op1_secret_scan": op1_secret_scan, "op2_raked_mixture": op2_raked_mixture, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_line_dedup": op4_line_dedup, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
 
 
 def oracle_sql():
