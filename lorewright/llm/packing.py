@@ -34,8 +34,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, i
         words = loaded(tokenizer)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-                ids = words.ids(text or "") + tail
+            for doc_id, ids in zip(batch["doc_id"].tolist(), words.many([t or "" for t in batch["text"].tolist()]), strict=True):
+                ids += tail
                 n = len(ids) // 4
                 begin, k = 0, 0
                 end = n - size * ((n - 1) // size)

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+
+import numpy as np
 
 #: Split rule of the vocabulary's pre-tokeniser.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words that one worker remembers at most; about 100 MB.
 CACHED_WORDS = 400_000
 CACHED_LENGTH = 40
+#: Characters of the texts that are looked at together.
+CHUNK = 1 << 21
 _LOADED: dict[str, "Tokens"] = {}
 
 
@@ -24,8 +29,8 @@ class Tokens:
 
     The file's merges are in the order of their ids, so ids are ranks and a rank-based encoder gives the same ids, only
     faster. Text is cut before single blanks that follow a character other than white space: no token spans such a place
-    and no look-ahead reaches over it, so words are encoded once and remembered. A text in which a word is empty or ends with
-    white space is encoded as a whole.
+    and no look-ahead reaches over it, so words are encoded once, many at a time, and remembered. A text in which a word is
+    empty, very long or ends with white space is encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -36,34 +41,53 @@ class Tokens:
         letters = byte_letters()
         ranks = {bytes(letters[c] for c in word): n for word, n in vocabulary.items() if all(c in letters for c in word) and n < 50256}
         self.encoder = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        for raw, n in ranks.items():
+            self.sizes[n] = len(raw)
         self.cache: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        """The ids of `text`."""
-        first, *words = text.split(" ")
-        cache, encode = self.cache, self.encoder.encode_to_numpy
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        try:
-            return b"".join([encode(first).astype("<u4").tobytes(), *[cache[w] for w in words]]) if self.safe(first, words) else encode(text).astype("<u4").tobytes()
-        except KeyError:
-            pass
-        out = [encode(first).astype("<u4").tobytes()]
-        for w in words:
-            found = cache.get(w)
-            if found is None:
-                if not w or w[-1].isspace():
-                    return encode(text).astype("<u4").tobytes()
-                found = encode(" " + w).astype("<u4").tobytes()
-                if len(w) <= CACHED_LENGTH:
-                    cache[w] = found
-            out.append(found)
-        return b"".join(out)
-
-    @staticmethod
-    def safe(first: str, words: list[str]) -> bool:
-        """False if the first blank follows white space or the text's start; the other words are looked at when they are cached."""
-        return not words or bool(first) and not first[-1].isspace()
+    def whole(self, text: str) -> bytes:
+        """The ids of `text`, without the cache."""
+        return np.array(self.encoder.encode_ordinary(text), "<u4").tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        """Remembers the ids of words after a blank: they are encoded as one text and parted by the tokens' bytes."""
+        text = " " + " ".join(words)
+        ids = self.encoder.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        cuts = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
+        raw = ids.tobytes()
+        begin = 0
+        for w, end in zip(words, cuts, strict=True):
+            self.cache[w] = raw[begin:end]
+            begin = end
+
+    def many(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        begin = 0
+        while begin < len(texts):
+            end, held, split = begin, 0, []
+            while end < len(texts) and held < CHUNK:
+                split.append(texts[end].split(" "))
+                held += len(texts[end])
+                end += 1
+            if len(self.cache) > CACHED_WORDS:
+                self.cache.clear()
+            new = set().union(*(s[1:] for s in split)).difference(self.cache)
+            new = [w for w in new if w and len(w) <= CACHED_LENGTH and not w[-1].isspace()]
+            if new:
+                self.learn(new)
+            known = self.cache.__getitem__
+            for text, words in zip(texts[begin:end], split, strict=True):
+                first = words[0]
+                if len(words) > 1 and (not first or first[-1].isspace()):
+                    yield self.whole(text)
+                    continue
+                try:
+                    yield self.whole(first) + b"".join(map(known, words[1:]))
+                except KeyError:
+                    yield self.whole(text)
+            begin = end
 
 
 def loaded(path: str) -> Tokens:
