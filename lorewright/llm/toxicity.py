@@ -32,9 +32,10 @@ CHUNK = 1 << 20
 
 @dataclass
 class Model:
-    """Classes of code points; subsequence weights of the landmarks; kernel map; plane; calibration; weights for the bound."""
+    """Classes of code points; row of each subsequence in the weights; subsequence weights of the landmarks, the last row zero; kernel map; plane; calibration."""
 
     classes: np.ndarray
+    rows: np.ndarray
     landmarks: np.ndarray
     projection: np.ndarray
     plane: np.ndarray
@@ -42,13 +43,12 @@ class Model:
     shift: float
 
     def __post_init__(self):
-        w = self.landmarks @ (self.projection @ self.plane[:-1])
-        self.bound = w.astype(np.float32)
+        self.bound = (self.landmarks @ (self.projection @ self.plane[:-1])).astype(np.float32)[self.rows]
         self.lowest = (np.log(FLOOR / (1 - FLOOR)) - self.shift) / self.slope
 
     def values(self, words: list[str]) -> np.ndarray:
         """Distances of words from the plane."""
-        return kernel(words, self.classes, self.landmarks) @ self.projection @ self.plane[:-1] + self.plane[-1]
+        return kernel(words, self.classes, self.rows, self.landmarks) @ self.projection @ self.plane[:-1] + self.plane[-1]
 
     def chances(self, texts: list[str], seen: dict[str, float]) -> np.ndarray:
         """Chance of toxicity of every text: that of its worst word. `seen` remembers words."""
@@ -191,15 +191,17 @@ def stream_words(words: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.
     return c, points, starts, starts
 
 
-def kernel(words: list[str], classes: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
-    """Normalised kernel of each word with each landmark (a column of subsequence weights)."""
+def kernel(words: list[str], classes: np.ndarray, rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    """Normalised kernel of each word with each landmark (a column of subsequence weights, in the rows of `rows`)."""
     out = np.zeros((len(words), landmarks.shape[1]))
     for begin in range(0, len(words), 4096):
         part = words[begin : begin + 4096]
         word, code, value = profile(part, classes)
+        known = rows[code] < len(landmarks) - 1
+        word, code, value = word[known], code[known], value[known]
         if len(word):
             firsts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            out[begin + word[firsts]] = np.add.reduceat(landmarks[code] * value[:, None], firsts, axis=0)
+            out[begin + word[firsts]] = np.add.reduceat(landmarks[rows[code]] * value[:, None], firsts, axis=0)
     return out
 
 
@@ -244,23 +246,25 @@ def trained(texts: list[str], labels: list[int]) -> Model | None:
     common = sorted(neg, key=lambda w: (-neg[w], w))
     marks = list(dict.fromkeys([*strong[: LANDMARKS[0]], *common[: LANDMARKS[1]]]))
     word, code, value = profile(marks, classes)
-    weights = np.zeros((CLASSES**LENGTH, len(marks)))
-    weights[code, word] = value
     used = np.unique(code)
-    eigen, vectors = np.linalg.eigh(weights[used].T @ weights[used])
+    table = np.full(CLASSES**LENGTH, len(used), np.int32)
+    table[used] = np.arange(len(used))
+    weights = np.zeros((len(used) + 1, len(marks)), np.float32)
+    weights[table[code], word] = value
+    eigen, vectors = np.linalg.eigh(weights.astype(np.float64).T @ weights)
     good = eigen > 1e-6 * eigen.max()
     projection = vectors[:, good] / np.sqrt(eigen[good])
     held = set(strong)
     counter = dict.fromkeys(w for w in [*common[:4000], *common[4000 :: max(1, len(common) // 16_000)]] if w not in held)
     clean = [t for t, k in zip(texts, y, strict=True) if not k]
     examples = [(w, math.sqrt(pos[w])) for w in strong] + [(v, VARIANT_WEIGHT * math.sqrt(pos[w])) for w in strong[: LANDMARKS[0]] for v in variants(w, classes)]
-    plus = kernel([w for w, _ in examples], classes, weights) @ projection
-    minus = kernel(list(counter), classes, weights) @ projection
+    plus = kernel([w for w, _ in examples], classes, table, weights) @ projection
+    minus = kernel(list(counter), classes, table, weights) @ projection
     share = np.array([x for _, x in examples])
     for _ in range(ROUNDS):
         sign = np.concatenate([np.ones(len(plus)), -np.ones(len(minus))])
         weight = np.concatenate([share / share.sum() * 1000, np.full(len(minus), 0.5)])
-        model = Model(classes, weights, projection, machine(np.vstack([plus, minus]), sign, weight), 1.0, 0.0)
+        model = Model(classes, table, weights, projection, machine(np.vstack([plus, minus]), sign, weight), 1.0, 0.0)
         new = {}
         for begin in range(0, len(clean), 64):
             new |= dict.fromkeys(w for w in suspects(clean[begin : begin + 64], classes, model.bound, model.plane[-1], NEAR)[1] if w not in counter and w not in held)
@@ -268,7 +272,7 @@ def trained(texts: list[str], labels: list[int]) -> Model | None:
         new = [w for w, v in zip(new, values.tolist(), strict=True) if v > NEAR]
         if not new:
             break
-        minus = np.vstack([minus, kernel(new, classes, weights) @ projection])
+        minus = np.vstack([minus, kernel(new, classes, table, weights) @ projection])
         counter |= dict.fromkeys(new)
     worst, seen = [], {}
     for t in texts:
@@ -278,7 +282,7 @@ def trained(texts: list[str], labels: list[int]) -> Model | None:
         worst.append(max([NEAR, *(seen[w] for w in words)]))
     written = model.values([v for w in strong[: LANDMARKS[0]] for v in variants(w, classes)])
     slope, shift = calibrated(np.concatenate([worst, np.maximum(written, NEAR)]), np.concatenate([y, np.ones(len(written), y.dtype)]))
-    return Model(classes, weights, projection, model.plane, slope, shift)
+    return Model(classes, table, weights, projection, model.plane, slope, shift)
 
 
 def variants(word: str, classes: np.ndarray) -> list[str]:
