@@ -218,8 +218,9 @@ def candidate_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """The pairs (a, b) whose documents' whole sets are linked.
 
-    Sets are taken only of documents that a filter of 2 ** FILTER_BITS bits lets through, and meet their pairs in joins. A
-    document of many pairs is one key of a plain join, which Spark splits.
+    Sets are taken only of documents that a filter of 2 ** FILTER_BITS bits lets through, and meet their pairs in joins: first as
+    parity sketches, which bound the overlap from above and are a sixteenth as large, then whole for the pairs that these leave.
+    A document of many pairs is one key of a plain join, which Spark splits.
     """
     spark = docs.sparkSession
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
@@ -237,9 +238,19 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
             if len(batch):
                 ids = batch["doc_id"].tolist()
                 sets = list(shingle_sets(batch["text"].tolist(), words))
-                yield pd.DataFrame({"doc_id": [ids[k] for k, _ in sets], "s": [s.tobytes() for _, s in sets]})
+                yield pd.DataFrame({"doc_id": [ids[k] for k, _ in sets], "n": [len(s) for _, s in sets], "parity": [parity(s) for _, s in sets], "s": [s.tobytes() for _, s in sets]})
 
-    sets = materialised(docs.where("doc_id is not null").withColumn("bit", bit).mapInPandas(take, "doc_id long, s binary"), "sets")
+    columns = "doc_id long, n long, parity binary, s binary"
+    sets = materialised(docs.where("doc_id is not null").withColumn("bit", bit).mapInPandas(take, columns), "sets")
+
+    def both(pairs: DataFrame, *names: str) -> DataFrame:
+        for end in "ab":
+            pairs = pairs.join(sets.select(F.col("doc_id").alias(end), *[F.col(n).alias(f"{n}_{end}") for n in names]), end)
+        return pairs
+
+    def can_link(n_a: pd.Series, n_b: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        differ = np.array([least_difference(p, q) for p, q in zip(x, y, strict=True)], np.int64)
+        return pd.Series((n_a + n_b).to_numpy() - differ >= 2 * needed(n_a.to_numpy(), n_b.to_numpy()))
 
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
         out = []
@@ -248,14 +259,30 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
             out.append(len(np.intersect1d(p, q, assume_unique=True)) >= needed(len(p), len(q)))
         return pd.Series(out)
 
-    check = F.pandas_udf(linked, "boolean")
-    with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
-    with_b = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
-    out = materialised(with_b.where(check("sa", "sb")).select("a", "b"), "links")
+    few = both(pairs, "n", "parity").where(F.pandas_udf(can_link, "boolean")("n_a", "n_b", "parity_a", "parity_b")).select("a", "b")
+    few = materialised(few, "likely-pairs")
+    out = materialised(both(few, "s").where(F.pandas_udf(linked, "boolean")("s_a", "s_b")).select("a", "b"), "links")
     dropped(sets)
     return out
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Which of 4 to 8 times as many counters as the set has shingles are odd, as bits."""
+    size = max(64, 1 << int(4 * len(s) - 1).bit_length())
+    odd = np.bincount(((s >> np.uint64(8)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_difference(p: bytes, q: bytes) -> int:
+    """A lower bound of the number of shingles in one set only: counters that are odd for one alone. The larger sketch is folded to the smaller."""
+    x, y = (np.frombuffer(z, np.uint8) for z in (p, q))
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def classes_of_near_duplicates(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, the smallest id reached over links of Jaccard similarity 0.8 or more.
 
