@@ -1,18 +1,24 @@
-"""Registry of the engine's own queries; filled as operators are added."""
+"""Registry of the engine's own queries and their DuckDB SQL, gathered from the modules that hold them."""
 
 from __future__ import annotations
 
+from lorewright.operators import fragments
+from lorewright.plans import queries_flows, queries_relational, queries_text
+
+MODULES = (queries_text, queries_relational, queries_flows)
+
 
 def flagship(spark, sf_dir):
-    """Number of characters of every document."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "n_chars")
+    """Fragments, mean quality and example flag of every document: split, classify, clean, score, aggregate."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return fragments.document_quality(fragments.clean_fragments(fragments.split_documents(docs)))
 
 
 def queries():
     """Queries by name."""
-    return {}
+    return {name: q for m in MODULES for name, (q, _) in m.QUERIES.items()} | {"flagship": flagship}
 
 
 def oracle_sql():
     """DuckDB SQL by query name."""
-    return {}
+    return {name: sql for m in MODULES for name, (_, sql) in m.QUERIES.items() if sql}
