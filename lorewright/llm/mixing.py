@@ -31,7 +31,7 @@ def fitted(cells: DataFrame, margins: Mapping[str, Mapping[str, float]]) -> Data
     """`cells` (one row per combination of the margins' columns, with `tokens`) plus `weight`: tokens raked to the targets, with the same sum.
 
     A value that `margins` lists gets its listed share; the values it doesn't list divide what is left by their tokens. Shares are
-    scaled to one over the values that occur. Each step multiplies a value's cells by target / current sum over one window, so a
+    scaled to one over the values that occur; if all of these are to get nothing, they keep their own shares. Each step multiplies a value's cells by target / current sum over one window, so a
     sweep is one exchange of the cells per margin, and cells are never collected. Without tokens every weight is 0.
     """
     total = Window.partitionBy(F.lit(0))
@@ -46,7 +46,8 @@ def fitted(cells: DataFrame, margins: Mapping[str, Mapping[str, float]]) -> Data
         per_value = cells.groupBy(name).agg(F.sum("tokens").cast("double").alias("_n")).where("_n > 0").withColumn("_want", want)
         others = F.sum(F.when(F.col("_want").isNull(), F.col("_n"))).over(total)
         per_value = per_value.withColumn("_want", F.coalesce("_want", F.col("_n") / others * left))
-        per_value = per_value.select(F.col(name), (F.col("_want") / F.sum("_want").over(total)).alias(f"_{name}"))
+        share = F.coalesce(F.try_divide(F.col("_want"), F.sum("_want").over(total)), F.col("_n") / F.sum("_n").over(total))
+        per_value = per_value.select(F.col(name), share.alias(f"_{name}"))
         frame = frame.join(per_value, name, "left")
     frame = materialised(frame.withColumn("weight", F.col("tokens").cast("double")), "cells")
     for _ in range(ROUNDS):
