@@ -24,6 +24,8 @@ BITS, ROW = 20, 4096
 KEYS, SMALL, LIST = 4, 14, 20_000
 #: Cost of a posting in an inverted list (with its part in checking candidates) against one subset.
 LIST_COST = 4
+#: Entries that a task holds before it hands them on.
+ENTRIES = 200_000
 #: Bits of the filter of documents that need checking.
 FILTER_BITS = 22
 _SALTS = np.random.default_rng(7).integers(0, 1 << 63, KEYS, np.uint64)
@@ -119,6 +121,12 @@ def postings(docs: DataFrame, words: int, classes, small: int) -> DataFrame:
             ids = batch["doc_id"].to_numpy(np.int64)
             keys, docs, sizes, places, parts = [], [], [], [], []
 
+            def flushed() -> pd.DataFrame:
+                columns = {"h": np.concatenate(keys).view(np.int64), "part": np.concatenate(parts), "doc_id": np.concatenate(docs), "n": np.concatenate(sizes), "pos": np.concatenate(places)}
+                for x in (keys, docs, sizes, places, parts):
+                    x.clear()
+                return pd.DataFrame(columns)
+
             def add(k: int, n: int, h: np.ndarray, pos: np.ndarray, part: np.ndarray) -> None:
                 keys.append(h)
                 docs.append(np.full(len(h), ids[k]))
@@ -148,8 +156,10 @@ def postings(docs: DataFrame, words: int, classes, small: int) -> DataFrame:
                             own = int(ids[k]) * 2654435761 % (1 << 32) % cut
                             pairs = [min(own, o) * cut + max(own, o) for o in range(cut)]
                             add(k, n, np.full(cut, x), np.full(cut, p), np.array(pairs))
+                if sum(map(len, keys[-256:])) > ENTRIES or len(keys) >= 4096:
+                    yield flushed()
             if keys:
-                yield pd.DataFrame({"h": np.concatenate(keys).view(np.int64), "part": np.concatenate(parts), "doc_id": np.concatenate(docs), "n": np.concatenate(sizes), "pos": np.concatenate(places)})
+                yield flushed()
 
     return docs.mapInPandas(enter, "h long, part long, doc_id long, n long, pos long")
 
