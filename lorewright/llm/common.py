@@ -41,7 +41,7 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back: lineage is cut and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -18,7 +18,7 @@ EDITS = 2
 ALLOWED = ((60, 2), (30, 1))
 #: Bits of the filter of lines that need checking; characters hashed at once; pairs checked at once.
 FILTER_BITS, CHUNK, PAIRS = 22, 1 << 20, 4096
-_SPACE = "\\u0020\\t\\r\\f\\x0B"
+_SPACE = " \t\r\f\x0b"
 
 
 def allowed(n):
@@ -33,7 +33,7 @@ def allowed(n):
 def exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, line_no, line) of every line that isn't blank, without white space at its ends."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n", -1)).alias("line_no", "line"))
-    return rows.withColumn("line", F.regexp_replace("line", f"^[{_SPACE}]+|[{_SPACE}]+$", "")).where("line <> ''")
+    return rows.withColumn("line", F.trim("line", F.lit(_SPACE))).where("line <> ''")
 
 
 def segments(n: int, edits: int) -> list[tuple[int, int]]:
@@ -137,17 +137,38 @@ def shared_only(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"h": x["h"][keep], "entry": x["entry"][keep], "pivot": np.repeat(pivot, sizes)[keep]})
 
 
+def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, s, t): which of 128 counters of a line's pairs of neighbouring characters are odd. One edit changes four at most."""
+    for batch in batches:
+        texts = batch["line"].tolist()
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        if not len(points):
+            continue
+        ends = np.cumsum([len(t) for t in texts])
+        pair = (mixed(points[:-1] * np.uint64(0x10FFFF) + points[1:]) >> np.uint64(57)).astype(np.uint64)
+        low = np.where(pair < 64, np.uint64(1) << (pair & np.uint64(63)), np.uint64(0))
+        high = np.where(pair >= 64, np.uint64(1) << (pair & np.uint64(63)), np.uint64(0))
+        starts = np.concatenate([[0], ends[:-1]])
+        out = {"id": batch["id"].to_numpy(np.int64)}
+        for name, bits in (("s", low), ("t", high)):
+            bits = np.append(bits, np.uint64(0))
+            bits[ends - 1] = 0  # a line's last character has no neighbour
+            out[name] = np.bitwise_xor.reduceat(bits, starts).view(np.int64)
+        yield pd.DataFrame(out)
+
+
 def open_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of an own segment's line and another line of its list that aren't in one component already."""
-    for x in lists(batches, ["h", "entry", "comp"]):
+    """Pairs of an own segment's line and another line of its list that aren't in one component already, and whose signatures allow so few edits."""
+    for x in lists(batches, ["h", "entry", "comp", "s", "t"]):
         first = firsts(x["h"])
         for a, z in zip(first.tolist(), [*first[1:].tolist(), len(x["h"])], strict=True):
             comp, entry = x["comp"][a:z], x["entry"][a:z]
             if comp.min() == comp.max():
                 continue
-            ids = entry & ~1
+            ids, s, t = entry & ~1, x["s"][a:z].view(np.uint64), x["t"][a:z].view(np.uint64)
             for k in np.flatnonzero(entry & 1):
-                other = np.unique(ids[(comp != comp[k])])
+                near = (comp != comp[k]) & (np.bitwise_count(s ^ s[k]).astype(np.int64) + np.bitwise_count(t ^ t[k]) <= 4 * EDITS)
+                other = np.unique(ids[near])
                 if len(other):
                     yield pd.DataFrame({"a": np.minimum(other, ids[k]), "b": np.maximum(other, ids[k])})
 
@@ -193,23 +214,27 @@ def distances(one: list[str], two: list[str], edits: int = EDITS) -> np.ndarray:
     return score
 
 
-def verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose lines are within the edits allowed for the shorter one."""
-    spark = lines.sparkSession
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
-    ends = pairs.select((bit("a") + 1).alias("bit")).union(pairs.select(bit("b") + 1)).distinct()
+def wanted_lines(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, line) of the lines with these ids, and of few others: a filter of 2 ** FILTER_BITS bits lets them through."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
+    ends = ids.select((bit + 1).alias("bit")).distinct()
     rows = ends.groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
     bits = np.zeros(1 << FILTER_BITS, bool)
     for k, found in rows:
         bits[(k - 1) << 15 : k << 15] = np.unpackbits(np.frombuffer(bytes(found), np.uint8), bitorder="little")
-    shared = spark.sparkContext.broadcast(np.packbits(bits))
+    shared = lines.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             yield batch[wanted[batch["bit"].to_numpy(np.int64)]][["id", "line"]]
 
-    few = materialised(lines.select("id", "line", bit("id").alias("bit")).mapInPandas(take, "id long, line string"), "checked-lines")
+    return lines.select("id", "line", bit.alias("bit")).mapInPandas(take, "id long, line string")
+
+
+def verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ids whose lines are within the edits allowed for the shorter one."""
+    few = materialised(wanted_lines(lines, pairs.select(F.col("a").alias("id")).union(pairs.select("b"))), "checked-lines")
 
     def close(x: pd.Series, y: pd.Series) -> pd.Series:
         one, two = x.tolist(), y.tolist()
@@ -241,7 +266,8 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Lines, without white space at their ends, are of one class if a chain of lines links them, each within the edits that ALLOWED
     gives for the shorter one. Equal lines are grouped first. A line of n characters is split into edits + 1 segments; of two close lines
     one segment of the shorter stands in the longer, at one of few places, so lists of equal segments hold every close pair.
-    Each list's lines are first checked against one of them; pairs are then made only between what isn't linked yet. No list is cut.
+    Each list's lines are first checked against one of them; pairs are then made only between what isn't linked yet and whose
+    signatures of character pairs are near enough for so few edits. No list is cut.
     Null and blank texts have no lines. Rows that repeat an id are lines of the same document.
     """
     spark = docs.sparkSession
@@ -257,14 +283,16 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     stars = shared.select(F.least(ids, "pivot").alias("a"), F.greatest(ids, "pivot").alias("b")).where("a <> b").distinct()
     stars = verified(lines, materialised(stars, "line-pivots"))
     groups = components(stars)
-    named = shared.select("h", "entry", ids.alias("id")).join(groups, "id", "left").select("h", "entry", F.coalesce("component", "id").alias("comp"))
+    marks = wanted_lines(lines, shared.select(ids.alias("id"))).mapInPandas(signatures, "id long, s long, t long")
+    named = shared.select("h", "entry", ids.alias("id")).join(groups, "id", "left").join(materialised(marks, "line-marks"), "id")
+    named = named.select("h", "entry", F.coalesce("component", "id").alias("comp"), "s", "t")
     pairs = materialised(named.repartition(dealt, "h").sortWithinPartitions("h").mapInPandas(open_pairs, "a long, b long").distinct(), "line-pairs")
     more = verified(lines, pairs)
     linked = components(stars.unionByName(more))
     dropped(lines)
     dropped(shared)
     collected(spark)
-    rows = everything.select("doc_id", "line_no", line_id("line").alias("id"))
+    rows = materialised(everything.select("doc_id", "line_no", line_id("line").alias("id")), "line-places")
     sizes = rows.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"))
     sizes = sizes.join(linked, "id", "left").select("id", "n", "first", F.coalesce("component", "id").alias("class"))
     sizes = materialised(sizes.where("n > 1").unionByName(sizes.where("n = 1 and class <> id")).unionByName(sizes.where("n = 1 and class = id").join(linked.select(F.col("component").alias("id")).distinct(), "id", "left_semi")), "line-sizes")
