@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from .common import shipped
 
 #: Longest context in bytes; least count of a context; entries (context x language x symbol) of the table of code lengths.
-ORDER, LEAST, ENTRIES = 4, 4, 9_000_000
+ORDER, LEAST, ENTRIES = 4, 4, 6_000_000
 #: Training documents of a language at most, in the order of a hash of their ids; bytes of them at most (whole documents).
-SAMPLE_DOCS, SAMPLE_BYTES = 400, 2_500_000
+SAMPLE_DOCS, SAMPLE_BYTES = 400, 800_000
 #: Bytes whose evidence the score states at most: longer texts are scored by their mean.
 EVIDENCE = 64
 CHUNK = 1 << 20
@@ -87,15 +87,15 @@ def trained(texts: dict[str, list[str]]) -> Model:
     raw = [np.frombuffer(b"".join(b"\n" * ORDER + t.encode("utf-8", "replace") for t in texts[x]), np.uint8) for x in languages]
     seen = np.unique(np.concatenate([np.array([10], np.uint8), *raw]))
     n = len(seen) + (len(seen) < 256)
-    symbols = np.full(256, n - 1, np.int64)
-    symbols[seen] = np.arange(len(seen))
+    symbols = np.full(256, n - 1, np.int32)
+    symbols[seen] = np.arange(len(seen), dtype=np.int32)
     least_bits = np.full(n, 1 / 256)
     least_bits[n - 1] = (256 - len(seen) + (len(seen) == 256)) / 256
     streams = [symbols[x] for x in raw]
     room = max(n + 2, ENTRIES // (n * len(languages)))
     children = np.zeros((room, n), np.int32)
     bits = np.zeros((room, n, len(languages)), np.float32)
-    nodes = [np.ones(max(0, len(s) - ORDER), np.int64) for s in streams]
+    nodes = [np.ones(max(0, len(s) - ORDER), np.int32) for s in streams]
     base = np.broadcast_to(least_bits[:, None], (n, len(languages)))
     chances = {1: _mixed(np.stack([np.bincount(s[ORDER:], minlength=n) for s in streams], axis=1)[None], base[None])[0]}
     bits[1] = -np.log2(chances[1])
@@ -126,7 +126,7 @@ def trained(texts: dict[str, list[str]]) -> Model:
                 count[:, :, j] = np.bincount((at[inside] - begin) * n + s[ORDER:][inside], minlength=(end - begin) * n).reshape(-1, n)
             above = np.exp2(-bits[found[begin:end] // n].astype(np.float64))
             bits[used + begin : used + end] = -np.log2(_mixed(count, above))
-        nodes = [np.where(at >= 0, at + used, 0) for at in here]
+        nodes = [np.where(at >= 0, at + used, 0).astype(np.int32) for at in here]
         used += len(found)
     return Model(languages, symbols, children[:used].ravel(), bits[:used])
 
