@@ -37,11 +37,23 @@ def scratch_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once to the shared folder and read back: lineage is cut and a lost executor costs no recomputation."""
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialised(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """`df` written once to the shared folder and read back: lineage is cut and a lost executor costs no recomputation.
+
+    batch: rows that go to a Python worker at once while it is written, where rows are large; the session's own setting is put back.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(BATCH)
+    try:
+        if batch:
+            spark.conf.set(BATCH, str(batch))
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -251,7 +251,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
                 yield pd.DataFrame({"doc_id": [ids[k] for k, _ in sets], "n": [len(s) for _, s in sets], "parity": [parity(s) for _, s in sets], "s": [s.tobytes() for _, s in sets]})
 
     columns = "doc_id long, n long, parity binary, s binary"
-    sets = materialised(docs.where("doc_id is not null").withColumn("bit", bit).mapInPandas(take, columns), "sets")
+    sets = materialised(docs.where("doc_id is not null").withColumn("bit", bit).mapInPandas(take, columns), "sets", 1000)
 
     def both(pairs: DataFrame, *names: str) -> DataFrame:
         for end in "ab":
@@ -270,8 +270,8 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
         return pd.Series(out)
 
     few = both(pairs, "n", "parity").where(F.pandas_udf(can_link, "boolean")("n_a", "n_b", "parity_a", "parity_b")).select("a", "b")
-    few = materialised(few, "likely-pairs")
-    out = materialised(both(few, "s").where(F.pandas_udf(linked, "boolean")("s_a", "s_b")).select("a", "b"), "links")
+    few = materialised(few, "likely-pairs", 1000)
+    out = materialised(both(few, "s").where(F.pandas_udf(linked, "boolean")("s_a", "s_b")).select("a", "b"), "links", 128)
     dropped(sets)
     return out
 
@@ -308,7 +308,7 @@ def classes_of_near_duplicates(docs: DataFrame, words: int = 5, id_col: str = "d
     spark = docs.sparkSession
     shipped(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = materialised(profiles(docs, words), "profiles")
+    found = materialised(profiles(docs, words), "profiles", 1000)
     classes = spark.sparkContext.broadcast(frequency_classes(found))
     own = found.where("block < 0").select("doc_id", "n", "sig", "keys")
     some = own.where("n > 0 and doc_id is not null")
@@ -330,7 +330,7 @@ def classes_of_near_duplicates(docs: DataFrame, words: int = 5, id_col: str = "d
 
     entries = postings(docs.where("doc_id is not null"), words, classes, small)
     dealt = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    shared = materialised(entries.repartition(dealt, "h", "part").sortWithinPartitions("h", "part").mapInPandas(shared_only, "h long, part long, doc_id long, n long, pos long"), "shared-postings")
+    shared = materialised(entries.repartition(dealt, "h", "part").sortWithinPartitions("h", "part").mapInPandas(shared_only, "h long, part long, doc_id long, n long, pos long"), "shared-postings", 4000)
     collected(spark)
     component = reps.select(F.col("doc_id").alias("rep")).join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("comp"))
     named = shared.join(component, shared["doc_id"] == component["rep"]).select("h", "part", "n", "rep", "pos", "comp")

@@ -200,5 +200,5 @@ def one_round(state: DataFrame, size: int, turn: int, settle: int) -> DataFrame:
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every piece of every document with its sequence and offset there."""
-    found = materialised(pieces(docs, tokenizer, size, end_id, id_col, text_col), "pieces")
+    found = materialised(pieces(docs, tokenizer, size, end_id, id_col, text_col), "pieces", 1000)
     return packed(found, size)

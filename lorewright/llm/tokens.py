@@ -9,8 +9,8 @@ import numpy as np
 
 #: Split rule of the vocabulary's pre-tokeniser.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words that one worker remembers at most; about 100 MB.
-CACHED_WORDS = 400_000
+#: Words that one worker remembers at most; about 60 MB.
+CACHED_WORDS = 250_000
 CACHED_LENGTH = 40
 #: Characters of the texts that are looked at together.
 CHUNK = 1 << 21
