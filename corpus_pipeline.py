@@ -31,7 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents by probabilities calibrated to the targets of source, language and topic."""
+    """Samples documents by rates calibrated to the targets of source, language and topic; one whose rate is over 1 is repeated."""
     return mixing.mixed(docs, MARGINS).select(*COLUMNS)
 
 

@@ -88,5 +88,6 @@ def calibrated(docs: DataFrame, margins: Mapping[str, Mapping[str, float]], frac
 
 
 def mixed(docs: DataFrame, margins: Mapping[str, Mapping[str, float]], fraction: float = 1.0) -> DataFrame:
-    """The sampled rows of `docs`, its own columns only; a document whose rate is over 1 stays once."""
-    return calibrated(docs, margins, fraction).where("_copies > 0").select(*docs.columns)
+    """The sampled rows of `docs`, its own columns only, each as often as it has copies: rates over 1 repeat rows, or the targets would be missed."""
+    sampled = calibrated(docs, margins, fraction).where("_copies > 0")
+    return sampled.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).select(*docs.columns)

@@ -402,6 +402,22 @@ def test_mixing_hits_its_targets(spark):
     assert mixing.calibrated(rows, margins).count() == 3 and mixing.calibrated(rows.limit(0), margins).count() == 0
 
 
+def test_mixed_rows_hit_their_targets(spark):
+    from lorewright.llm import mixing
+    from lorewright.llm.registry import MARGINS
+
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    copies = {r.doc_id: r._copies for r in mixing.calibrated(docs, MARGINS).collect()}
+    out = mixing.mixed(docs, MARGINS)
+    assert out.columns == docs.columns and max(copies.values()) > 1
+    rows = out.select("doc_id", "source", "lang", mixing.word_count(F.col("text")).alias("tokens")).toPandas()
+    assert rows.doc_id.value_counts().to_dict() == {i: n for i, n in copies.items() if n}
+    rows["topic"] = np.where(rows.tokens < 60, "brief", np.where(rows.tokens < 600, "article", "book"))
+    for name, listed in MARGINS.items():
+        shares = rows.groupby(name).tokens.sum() / rows.tokens.sum()
+        assert all(abs(shares[v] - share) < 0.03 for v, share in listed.items()), shares
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
