@@ -49,7 +49,9 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The rows of `docs` that stay, all columns unchanged. Rows that repeat a kept id and its text stay together.
 
-    The ids of the dropped rows decide, not those of the kept ones, since they are fewer.
+    The dropped rows decide, not the kept ones, since they are fewer. A row is known by its id and its text's SHA-256 together: an id,
+    null among them, can stand on several texts of which only some are copies.
     """
-    gone = duplicate_classes(docs, id_col, text_col, keep).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    gone = duplicate_classes(docs, id_col, text_col, keep).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_gone_sha")).distinct()
+    sha = F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256))
+    return docs.join(gone, (sha == F.col("_gone_sha")) & F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")

@@ -369,6 +369,16 @@ def test_exact_dedup_edges(spark):
     assert sorted(r.doc_id for r in exact_dedup.deduplicated(f).collect()) == [1, 3, 4, 5, 7, 7]
 
 
+def test_exact_dedup_decides_by_row(spark):
+    from lorewright.llm import exact_dedup
+
+    rows = [(1, "a"), (None, "A"), (None, "alone"), (None, "too"), (2, "b"), (3, "b"), (3, "c"), (4, "d"), (4, "D"), (5, None), (6, ""), (6, "e")]
+    f = spark.createDataFrame(rows, "doc_id long, text string")
+    rest = {(1, "a"), (None, "alone"), (None, "too"), (3, "c"), (4, "d"), (4, "D"), (6, "e")}
+    assert {tuple(r) for r in exact_dedup.deduplicated(f).collect()} == rest | {(2, "b"), (5, None)}
+    assert {tuple(r) for r in exact_dedup.deduplicated(f, keep="max").collect()} == rest | {(3, "b"), (6, "")}
+
+
 def test_components(spark):
     from lorewright.llm.components import components
 
