@@ -31,8 +31,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents by rates calibrated to the targets of source, language and topic; one whose rate is over 1 is repeated."""
-    return mixing.mixed(docs, MARGINS).select(*COLUMNS)
+    """Samples documents by rates calibrated to the targets of source, language and topic; one whose rate is over 1 is repeated.
+
+    Null and unlisted languages keep their own share: language ID has let these documents in.
+    """
+    return mixing.mixed(docs, MARGINS, keep_unlisted=True).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ from .common import dropped, hex_number, materialised
 SWEEPS, ROUNDS, ERROR = 8, 8, 1e-12
 #: Cells up to which the table of cells is broadcast.
 BROADCAST_CELLS = 100_000
+#: Listed shares that leave less than this of a margin leave nothing: sums of decimal shares miss 1 by a few roundings.
+LEFT = 1e-9
 NONE = "none"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -27,12 +29,15 @@ def length_topic(tokens: Column) -> Column:
     return F.when(tokens < 60, "brief").when(tokens < 600, "article").otherwise("book")
 
 
-def fitted(cells: DataFrame, margins: Mapping[str, Mapping[str, float]]) -> DataFrame:
+def fitted(cells: DataFrame, margins: Mapping[str, Mapping[str, float]], keep_unlisted: bool = False) -> DataFrame:
     """`cells` (one row per combination of the margins' columns, with `tokens`) plus `weight`: tokens raked to the targets, with the same sum.
 
     A value that `margins` lists gets its listed share; the values it doesn't list divide what is left by their tokens. Shares are
     scaled to one over the values that occur; if all of these are to get nothing, they keep their own shares. Each step multiplies a value's cells by target / current sum over one window, so a
     sweep is one exchange of the cells per margin, and cells are never collected. Without tokens every weight is 0.
+
+    keep_unlisted: where the listed shares leave nothing, the values that aren't listed keep their own shares of the tokens and the
+    listed ones divide the rest, instead of the others being lost.
     """
     total = Window.partitionBy(F.lit(0))
     frame = cells.withColumn("_t", F.sum("tokens").over(total))
@@ -45,7 +50,12 @@ def fitted(cells: DataFrame, margins: Mapping[str, Mapping[str, float]]) -> Data
         left = max(0.0, 1.0 - sum(listed.values()))
         per_value = cells.groupBy(name).agg(F.sum("tokens").cast("double").alias("_n")).where("_n > 0").withColumn("_want", want)
         others = F.sum(F.when(F.col("_want").isNull(), F.col("_n"))).over(total)
-        per_value = per_value.withColumn("_want", F.coalesce("_want", F.col("_n") / others * left))
+        if keep_unlisted and left < LEFT:
+            everything = F.sum("_n").over(total)
+            given = F.try_divide(F.col("_want"), F.sum("_want").over(total)) * (1 - F.coalesce(others, F.lit(0.0)) / everything)
+            per_value = per_value.withColumn("_want", F.coalesce(given, F.col("_n") / everything))
+        else:
+            per_value = per_value.withColumn("_want", F.coalesce("_want", F.col("_n") / others * left))
         share = F.coalesce(F.try_divide(F.col("_want"), F.sum("_want").over(total)), F.col("_n") / F.sum("_n").over(total))
         per_value = per_value.select(F.col(name), share.alias(f"_{name}"))
         frame = frame.join(per_value, name, "left")
@@ -68,7 +78,7 @@ def fitted(cells: DataFrame, margins: Mapping[str, Mapping[str, float]]) -> Data
     return frame.select(*cells.columns, "weight")
 
 
-def calibrated(docs: DataFrame, margins: Mapping[str, Mapping[str, float]], fraction: float = 1.0, topic=length_topic, id_col: str = "doc_id", text_col: str = "text", seed: str = "mix") -> DataFrame:
+def calibrated(docs: DataFrame, margins: Mapping[str, Mapping[str, float]], fraction: float = 1.0, topic=length_topic, id_col: str = "doc_id", text_col: str = "text", seed: str = "mix", keep_unlisted: bool = False) -> DataFrame:
     """`docs` plus _source, _lang, _topic, _tokens, _rate (expected copies per document) and _copies.
 
     margins: targets by "source", "lang" and "topic". The rate of a cell is fraction * fitted weight / tokens; a document
@@ -79,7 +89,7 @@ def calibrated(docs: DataFrame, margins: Mapping[str, Mapping[str, float]], frac
     marked = marked.withColumns({"_source": F.coalesce("source", F.lit(NONE)), "_lang": F.coalesce("lang", F.lit(NONE)), "_topic": topic(F.col("_tokens"))})
     keys = [f"_{name}" for name in margins]
     cells = marked.groupBy(*[F.col(k).alias(k[1:]) for k in keys]).agg(F.sum("_tokens").alias("tokens"))
-    rates = fitted(cells, margins).select(*[F.col(k[1:]).alias(k) for k in keys], (F.col("weight") / F.col("tokens") * F.lit(float(fraction))).alias("_rate"))
+    rates = fitted(cells, margins, keep_unlisted).select(*[F.col(k[1:]).alias(k) for k in keys], (F.col("weight") / F.col("tokens") * F.lit(float(fraction))).alias("_rate"))
     if rates.count() <= BROADCAST_CELLS:
         rates = F.broadcast(rates)
     u = (hex_number(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 12) + F.lit(0.5)) / F.lit(float(16**12))
@@ -87,7 +97,7 @@ def calibrated(docs: DataFrame, margins: Mapping[str, Mapping[str, float]], frac
     return out.withColumn("_copies", (F.floor("_rate") + (u < F.col("_rate") - F.floor("_rate")).cast("long")).cast("long"))
 
 
-def mixed(docs: DataFrame, margins: Mapping[str, Mapping[str, float]], fraction: float = 1.0) -> DataFrame:
+def mixed(docs: DataFrame, margins: Mapping[str, Mapping[str, float]], fraction: float = 1.0, keep_unlisted: bool = False) -> DataFrame:
     """The sampled rows of `docs`, its own columns only, each as often as it has copies: rates over 1 repeat rows, or the targets would be missed."""
-    sampled = calibrated(docs, margins, fraction).where("_copies > 0")
+    sampled = calibrated(docs, margins, fraction, keep_unlisted=keep_unlisted).where("_copies > 0")
     return sampled.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).select(*docs.columns)

@@ -428,6 +428,18 @@ def test_mixed_rows_hit_their_targets(spark):
         assert all(abs(shares[v] - share) < 0.03 for v, share in listed.items()), shares
 
 
+def test_mix_keeps_null_and_unlisted_languages(spark):
+    import corpus_pipeline
+
+    langs = ["en", "de", "fr", "es", "en", "de", None, "it", "en", "fr"]
+    rows = [(k, " ".join(["word"] * (30 if k % 4 == 0 else 200 if k % 4 < 3 else 700)), langs[k // 4 % 10], f"src{k % 3}", 0) for k in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mix(spark, docs, SMALL).select(F.coalesce("lang", F.lit("none")).alias("lang"), F.size(F.split("text", " ")).alias("tokens")).toPandas()
+    shares = out.groupby("lang").tokens.sum() / out.tokens.sum()
+    want = {"none": 0.1, "it": 0.1, "en": 0.4, "de": 0.16, "fr": 0.16, "es": 0.08}
+    assert set(shares.index) == set(want) and all(abs(shares[v] - share) < 0.03 for v, share in want.items()), shares
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
