@@ -16,8 +16,10 @@ from .tokens import loaded
 
 #: Pieces in a block, islands that work on a block, offspring of an island in an epoch, individuals of an island.
 BLOCK, ISLANDS, OFFSPRING, POPULATION = 4096, 2, 24, 4
-#: Free tokens up to which a sequence is settled after a round; the last round settles all.
+#: Free tokens up to which a sequence is settled after a round; the last holds for all further rounds, and the last block settles all.
 SETTLED = (0, 2, 8, 32)
+#: More than the rounds there can be: from the last of SETTLED on, each at least halves the pieces.
+ROUNDS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -132,19 +134,21 @@ def packed(found: DataFrame, size: int = 2048) -> DataFrame:
     Full pieces stand alone. The others are dealt by a hash into blocks of about BLOCK pieces. On each block ISLANDS islands
     evolve; where neither reaches the lower bound, each island's elite migrates to the other for a second epoch. The block's
     best packing settles its well-filled sequences; the pieces of the rest move on, into fewer and larger-mixed blocks, until
-    one block is left. Every round writes its state to the shared folder, so no task and no driver ever holds more than a block.
+    one block is left. Once SETTLED is used up or a round has settled little, only a block's emptiest sequences move on, with half
+    of its pieces at most, so the blocks at least halve. Every round writes its state to the shared folder, so no task and no driver ever holds more than a block.
     """
     spark = found.sparkSession
     shipped(spark)
     out, columns = [], found.columns
     whole = found.where(F.col("length") == size).select(*columns, (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest = found.where(F.col("length") < size).withColumn("_uid", F.monotonically_increasing_id())
-    count, turn, last = found.where(F.col("length") < size).count(), 0, None
+    count, turn, last, halving = found.where(F.col("length") < size).count(), 0, None, False
     while count:
         blocks = math.ceil(count / BLOCK)
-        settle = size if blocks == 1 or turn + 1 == len(SETTLED) or last is not None and count > 0.7 * last else SETTLED[turn]
+        halving = halving or turn + 1 == len(SETTLED) or last is not None and count > 0.7 * last
+        settle = size if blocks == 1 else SETTLED[-1] if halving else SETTLED[turn]
         state = rest.withColumn("_block", F.pmod(F.xxhash64("_uid", F.lit(turn)), F.lit(blocks)))
-        done = materialised(one_round(state, size, turn, settle), f"packing-{turn}")
+        done = materialised(one_round(state, size, turn, settle, halving), f"packing-{turn}")
         out.append(done.where("sequence_id is not null").select(*columns, "sequence_id", "offset"))
         rest = done.where("sequence_id is null").drop("sequence_id", "offset")
         last, count, turn = count, rest.count(), turn + 1
@@ -154,8 +158,10 @@ def packed(found: DataFrame, size: int = 2048) -> DataFrame:
     return whole
 
 
-def one_round(state: DataFrame, size: int, turn: int, settle: int) -> DataFrame:
-    """One round over all blocks: `state` without _block, with sequence_id and offset where the piece's sequence is settled."""
+def one_round(state: DataFrame, size: int, turn: int, settle: int, halving: bool = False) -> DataFrame:
+    """One round over all blocks: `state` without _block, with sequence_id and offset where the piece's sequence is settled.
+
+    halving: the fuller sequences are settled too, so far that at most half of a block's pieces stay open."""
     fields = [f"`{n}` {t}" for n, t in state.drop("_block").dtypes]
     island_schema = ", ".join([*fields, "_block long, _island int, _bin int, _bins int, _done boolean"])
     isles = state.withColumn("_island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))))
@@ -185,8 +191,12 @@ def one_round(state: DataFrame, size: int, turn: int, settle: int) -> DataFrame:
         rows = rows[rows["_island"] == best].sort_values(["_bin", "_uid"], ignore_index=True)
         total = rows.groupby("_bin")["length"].transform("sum")
         rows["offset"] = (rows.groupby("_bin")["length"].cumsum() - rows["length"]).astype("Int64")
-        rows["sequence_id"] = (((key[0] * len(SETTLED) + turn) * (2 * BLOCK) + rows["_bin"]) * 2 + 1).astype("Int64")
-        rows.loc[total < size - settle, ["offset", "sequence_id"]] = None
+        rows["sequence_id"] = (((key[0] * ROUNDS + turn) * (2 * BLOCK) + rows["_bin"]) * 2 + 1).astype("Int64")
+        still = total < size - settle
+        if halving:
+            held = rows.groupby("_bin")["length"].agg(["sum", "size"]).sort_values("sum", kind="stable")["size"].cumsum()
+            still &= rows["_bin"].map(held) <= len(rows) // 2
+        rows.loc[still, ["offset", "sequence_id"]] = None
         return rows.drop(columns=["_block", "_island", "_bin", "_bins", "_done"])
 
     first = materialised(isles.groupBy("_block", "_island").applyInPandas(first_epoch, island_schema), f"islands-{turn}")

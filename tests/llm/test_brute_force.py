@@ -262,6 +262,21 @@ def test_packing_of_awkward_lengths(spark):
     assert packing.packed(materialised(found.limit(0), "t")).count() == 0
 
 
+def test_packing_merges_what_many_blocks_leave(spark, monkeypatch):
+    from lorewright.llm import packing
+    from lorewright.llm.common import materialised
+
+    monkeypatch.setattr(packing, "BLOCK", 64)
+    rng = random.Random(6)
+    rows = [(k, 0, 0, 2 * rng.randint(60, 500) + 1, 1) for k in range(2000)]
+    p = packing.packed(materialised(spark.createDataFrame(rows, packing.PIECES), "t")).toPandas()
+    check_packing(p)
+    bound = math.ceil(p.length.sum() / 2048)
+    print("sequences", p.sequence_id.nunique(), "bound", bound)
+    assert sorted(p.doc_id) == list(range(len(rows)))
+    assert p.sequence_id.nunique() <= bound + 6
+
+
 def test_packing_edges(spark):
     import public_tokenizers
 
