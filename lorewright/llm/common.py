@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import sys
 import tempfile
 import uuid
@@ -33,9 +34,11 @@ def ascii_lower(text: Column) -> Column:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; one of our own only where it is unset."""
+    """The shared folder that the cluster names in spark.checkpoint.dir; one of our own only where it is unset and all runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='lorewright-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

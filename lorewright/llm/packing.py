@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import random
 import zlib
@@ -11,11 +12,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import collected, dropped, materialised, shipped
+from .common import collected, materialised, shipped, with_whole_ids
 from .tokens import loaded
 
-#: Pieces in a block, islands that work on a block, offspring of an island in an epoch, individuals of an island.
-BLOCK, ISLANDS, OFFSPRING, POPULATION = 4096, 2, 24, 4
+#: Pieces in a block, islands that work on a block, individuals of an island.
+BLOCK, ISLANDS, POPULATION = 4096, 2, 4
+#: Offspring of an island in an epoch: so many where best fit is within EXCESS of the lower bound, else up to the second number, while one of the last STALL was better.
+OFFSPRING, EXCESS, STALL = (24, 240), 0.005, 60
 #: Free tokens up to which a sequence is settled after a round; the last holds for all further rounds, and the last block settles all.
 SETTLED = (0, 2, 8, 32)
 #: More than the rounds there can be: from the last of SETTLED on, each at least halves the pieces.
@@ -36,17 +39,17 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, i
         words = loaded(tokenizer)
         for batch in batches:
             out = []
-            for doc_id, ids in zip(batch["doc_id"].tolist(), words.many([t or "" for t in batch["text"].tolist()]), strict=True):
+            for doc_id, nil, ids in zip(batch["doc_id"].tolist(), batch["nil"].tolist(), words.many([t or "" for t in batch["text"].tolist()]), strict=True):
                 ids += tail
                 n = len(ids) // 4
                 begin, k = 0, 0
                 end = n - size * ((n - 1) // size)
                 while begin < n:
-                    out.append((None if doc_id != doc_id else doc_id, k, begin, end - begin, zlib.crc32(ids[4 * begin : 4 * end])))
+                    out.append((None if nil else doc_id, k, begin, end - begin, zlib.crc32(ids[4 * begin : 4 * end])))
                     begin, end, k = end, end + size, k + 1
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"], dtype=object).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(cut, PIECES)
+    return with_whole_ids(docs, id_col, text_col).mapInPandas(cut, PIECES)
 
 
 class Bins:
@@ -108,27 +111,68 @@ def crossed(lengths: list[int], one: list[list[int]], two: list[list[int]], size
     for b in loose:
         kept.remove(b)
         displaced += b
+    displaced = replaced(lengths, kept, displaced, size)
     return filled(lengths, displaced, [*kept, *map(list, injected)], size, 0.05 * rng.random(), rng)
 
 
-def evolved(lengths: list[int], seeds: list[list[list[int]]], size: int, rng: random.Random) -> list[list[int]]:
-    """The best individual of an island after one epoch. It ends early at the least number of sequences that the lengths allow, all but one of them full."""
+def replaced(lengths: list[int], bins: list[list[int]], loose: list[int], size: int) -> list[int]:
+    """Improves `bins` by exchange with `loose` items, and returns what is loose then: in a sequence one item makes way for the longest loose
+    one, or two, that fill it better. What comes out is smaller, so it is easier to place."""
+    loose = sorted(loose, key=lambda i: lengths[i])
+    held = [lengths[i] for i in loose]
+    for b in bins:
+        room = size - sum(lengths[i] for i in b)
+        if not room or not loose:
+            continue
+        for k, i in enumerate(b):
+            space = room + lengths[i]
+            one = bisect.bisect_right(held, space) - 1
+            best, pick = (held[one], (one,)) if one >= 0 else (0, ())
+            low, high = 0, len(held) - 1
+            while low < high and best < space:
+                both = held[low] + held[high]
+                if both > space:
+                    high -= 1
+                    continue
+                if both > best:
+                    best, pick = both, (low, high)
+                low += 1
+            if best > lengths[i]:
+                put = [loose[x] for x in pick]
+                for x in sorted(pick, reverse=True):
+                    del loose[x], held[x]
+                at = bisect.bisect_right(held, lengths[i])
+                loose.insert(at, i)
+                held.insert(at, lengths[i])
+                b[k : k + 1] = put
+                break
+    return loose
+
+
+def evolved(lengths: list[int], seeds: list[list[list[int]]], size: int, rng: random.Random) -> tuple[list[list[int]], int, int]:
+    """The best individual of an island after one epoch, the number of its offspring, and the sequences of plain best fit.
+
+    It ends early at the least number of sequences that the lengths allow, all but one of them full.
+    """
     bound = math.ceil(sum(lengths) / size)
     everything = list(range(len(lengths)))
     people = [*seeds, *[filled(lengths, everything, [], size, 0.0 if k == 0 else 0.1 * k, rng) for k in range(POPULATION - len(seeds))]]
+    plain, born, better = len(people[len(seeds)]), 0, 0
     people.sort(key=lambda b: fitness(lengths, b, size), reverse=True)
-    for _ in range(OFFSPRING):
-        if len(people[0]) <= bound:
-            break
+    most = OFFSPRING[len(people[0]) > bound * (1 + EXCESS)]
+    while born < most and len(people[0]) > bound and born - better <= STALL:
         one, two = rng.sample(people, 2)
         child = crossed(lengths, one, two, size, rng)
+        born += 1
+        if fitness(lengths, child, size) > fitness(lengths, people[0], size):
+            better = born
         if fitness(lengths, child, size) > fitness(lengths, people[-1], size):
             people[-1] = child
             people.sort(key=lambda b: fitness(lengths, b, size), reverse=True)
-    return people[0]
+    return people[0], born, plain
 
 
-def packed(found: DataFrame, size: int = 2048) -> DataFrame:
+def packed(found: DataFrame, size: int = 2048, report: list[dict[str, int]] | None = None) -> DataFrame:
     """`found` (pieces with a `length` from 1 to `size`) plus sequence_id and offset, in as few sequences as can be.
 
     Full pieces stand alone. The others are dealt by a hash into blocks of about BLOCK pieces. On each block ISLANDS islands
@@ -136,6 +180,8 @@ def packed(found: DataFrame, size: int = 2048) -> DataFrame:
     best packing settles its well-filled sequences; the pieces of the rest move on, into fewer and larger-mixed blocks, until
     one block is left. Once SETTLED is used up or a round has settled little, only a block's emptiest sequences move on, with half
     of its pieces at most, so the blocks at least halve. Every round writes its state to the shared folder, so no task and no driver ever holds more than a block.
+
+    report: a list to which each round adds its blocks, the offspring born, the islands' elites that migrated, and the sequences of plain best fit and of the search.
     """
     spark = found.sparkSession
     shipped(spark)
@@ -148,7 +194,7 @@ def packed(found: DataFrame, size: int = 2048) -> DataFrame:
         halving = halving or turn + 1 == len(SETTLED) or last is not None and count > 0.7 * last
         settle = size if blocks == 1 else SETTLED[-1] if halving else SETTLED[turn]
         state = rest.withColumn("_block", F.pmod(F.xxhash64("_uid", F.lit(turn)), F.lit(blocks)))
-        done = materialised(one_round(state, size, turn, settle, halving), f"packing-{turn}")
+        done = materialised(one_round(state, size, turn, settle, halving, report), f"packing-{turn}")
         out.append(done.where("sequence_id is not null").select(*columns, "sequence_id", "offset"))
         rest = done.where("sequence_id is null").drop("sequence_id", "offset")
         last, count, turn = count, rest.count(), turn + 1
@@ -158,33 +204,31 @@ def packed(found: DataFrame, size: int = 2048) -> DataFrame:
     return whole
 
 
-def one_round(state: DataFrame, size: int, turn: int, settle: int, halving: bool = False) -> DataFrame:
+def one_round(state: DataFrame, size: int, turn: int, settle: int, halving: bool = False, report: list[dict[str, int]] | None = None) -> DataFrame:
     """One round over all blocks: `state` without _block, with sequence_id and offset where the piece's sequence is settled.
 
     halving: the fuller sequences are settled too, so far that at most half of a block's pieces stay open."""
     fields = [f"`{n}` {t}" for n, t in state.drop("_block").dtypes]
-    island_schema = ", ".join([*fields, "_block long, _island int, _bin int, _bins int, _done boolean"])
+    island_schema = ", ".join([*fields, "_block long, _island int, _bin int, _bins int, _done boolean, _born int, _plain int"])
     isles = state.withColumn("_island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))))
 
     def first_epoch(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "_uid"], ignore_index=True)
         lengths = rows["length"].tolist()
-        best = evolved(lengths, [], size, random.Random(f"{turn}/{key[0]}/{key[1]}"))
-        return marked(rows, best, math.ceil(sum(lengths) / size))
+        return marked(rows, math.ceil(sum(lengths) / size), *evolved(lengths, [], size, random.Random(f"{turn}/{key[0]}/{key[1]}")))
 
-    def marked(rows: pd.DataFrame, best: list[list[int]], bound: int) -> pd.DataFrame:
+    def marked(rows: pd.DataFrame, bound: int, best: list[list[int]], born: int, plain: int) -> pd.DataFrame:
         where = [0] * len(rows)
         for k, b in enumerate(best):
             for i in b:
                 where[i] = k
-        return rows.assign(_bin=where, _bins=len(best), _done=len(best) <= bound)
+        return rows.assign(_bin=where, _bins=len(best), _done=len(best) <= bound, _born=born, _plain=plain)
 
     def second_epoch(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         own, other = (x.sort_values(["length", "_uid"], ignore_index=True) for x in (rows[rows["_island"] == key[1]], rows[rows["_island"] != key[1]]))
         lengths = own["length"].tolist()
         elites = [[list(g.index) for _, g in x.groupby("_bin")] for x in (own, other)]
-        best = evolved(lengths, elites, size, random.Random(f"{turn}/{key[0]}/{key[1]}/2"))
-        return marked(own, best, 0)
+        return marked(own, 0, *evolved(lengths, elites, size, random.Random(f"{turn}/{key[0]}/{key[1]}/2")))
 
     def closed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         best = rows.sort_values(["_bins", "_island"])["_island"].iloc[0]
@@ -197,18 +241,33 @@ def one_round(state: DataFrame, size: int, turn: int, settle: int, halving: bool
             held = rows.groupby("_bin")["length"].agg(["sum", "size"]).sort_values("sum", kind="stable")["size"].cumsum()
             still &= rows["_bin"].map(held) <= len(rows) // 2
         rows.loc[still, ["offset", "sequence_id"]] = None
-        return rows.drop(columns=["_block", "_island", "_bin", "_bins", "_done"])
+        return rows.drop(columns=["_block", "_island", "_bin", "_bins", "_done", "_born", "_plain"])
 
     first = materialised(isles.groupBy("_block", "_island").applyInPandas(first_epoch, island_schema), f"islands-{turn}")
     good = first.where("_done").select("_block").distinct()
     open_blocks = first.join(good, "_block", "left_anti")
     moved = open_blocks.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))))
     second = moved.groupBy("_block", "_to").applyInPandas(second_epoch, island_schema + ", _to int").drop("_to")
+    if report is not None:
+        second = materialised(second, f"migrated-{turn}")
     best = first.join(good, "_block", "left_semi").unionByName(second)
+    if report is not None:
+        isle = F.max(F.struct("_born", "_plain", "_bins")).alias("x")
+        born, moves, _ = second.groupBy("_block", "_island").agg(isle).agg(F.sum("x._born"), F.count(F.lit(1)), F.lit(0)).first()
+        early = first.groupBy("_block", "_island").agg(isle).agg(F.sum("x._born")).first()[0]
+        plain = first.groupBy("_block").agg(F.min("_plain").alias("p")).agg(F.count(F.lit(1)), F.sum("p")).first()
+        ends = best.groupBy("_block").agg(F.min("_bins").alias("b")).agg(F.sum("b")).first()[0]
+        report.append({"blocks": plain[0], "offspring": (early or 0) + (born or 0), "migrations": moves, "best_fit": plain[1], "search": ends})
     return best.groupBy("_block").applyInPandas(closed, ", ".join([*fields, "offset long, sequence_id long"]))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every piece of every document with its sequence and offset there."""
+    """Every piece of every document with its sequence and offset there.
+
+    Null texts are empty, so they are one piece with the end alone; rows that repeat an id, or have none, have pieces of their own.
+    An empty table gives no rows. Other columns are never read.
+    """
     found = materialised(pieces(docs, tokenizer, size, end_id, id_col, text_col), "pieces", 1000)
-    return packed(found, size)
+    # the search's workers see no null among the ids, which would make them doubles
+    found = found.withColumns({"doc_id": F.coalesce("doc_id", F.lit(0).cast("long")), "_nil": F.col("doc_id").isNull()})
+    return packed(found, size).withColumn("doc_id", F.when(~F.col("_nil"), F.col("doc_id"))).drop("_nil")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,24 +31,37 @@ class Tokens:
     The file's merges are in the order of their ids, so ids are ranks and a rank-based encoder gives the same ids, only
     faster. Text is cut before single blanks that follow a character other than white space: no token spans such a place
     and no look-ahead reaches over it, so words are encoded once, many at a time, and remembered. A text in which a word is
-    empty, very long or ends with white space is encoded as a whole.
+    empty, very long or ends with white space, or that holds an added token of the file (such as an end marker), is encoded as a whole.
     """
 
     def __init__(self, path: str):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        letters = byte_letters()
-        ranks = {bytes(letters[c] for c in word): n for word, n in vocabulary.items() if all(c in letters for c in word) and n < 50256}
+            given = json.load(f)
+        letters, added = byte_letters(), {}
+        for token in given["added_tokens"]:
+            if token["single_word"] or token["lstrip"] or token["rstrip"]:
+                raise ValueError(f"added token {token['content']!r} takes in what surrounds it")
+            added[token["content"]] = token["id"]
+        ranks = {bytes(letters[c] for c in word): n for word, n in given["model"]["vocab"].items() if all(c in letters for c in word) and word not in added}
+        self.added = {content: np.array([n], "<u4").tobytes() for content, n in added.items()}
+        # the longest of those that begin at one place
+        self.marker = re.compile("(" + "|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)) + ")") if added else None
         self.encoder = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for raw, n in ranks.items():
             self.sizes[n] = len(raw)
         self.cache: dict[str, bytes] = {}
 
+    def marked(self, text: str) -> bool:
+        """Whether `text` holds an added token."""
+        return any(x in text for x in self.added)
+
     def whole(self, text: str) -> bytes:
-        """The ids of `text`, without the cache."""
+        """The ids of `text`, without the cache. Added tokens are cut out first, and what lies between them is encoded apart."""
+        if self.marked(text):
+            return b"".join(self.added[x] if k % 2 else self.whole(x) for k, x in enumerate(self.marker.split(text)))
         return np.array(self.encoder.encode_ordinary(text), "<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
@@ -74,13 +88,13 @@ class Tokens:
             if len(self.cache) > CACHED_WORDS:
                 self.cache.clear()
             new = set().union(*(s[1:] for s in split)).difference(self.cache)
-            new = [w for w in new if w and len(w) <= CACHED_LENGTH and not w[-1].isspace()]
+            new = [w for w in new if w and len(w) <= CACHED_LENGTH and not w[-1].isspace() and not self.marked(w)]
             if new:
                 self.learn(new)
             known = self.cache.__getitem__
             for text, words in zip(texts[begin:end], split, strict=True):
                 first = words[0]
-                if len(words) > 1 and (not first or first[-1].isspace()):
+                if len(words) > 1 and (not first or first[-1].isspace()) or self.marked(text):
                     yield self.whole(text)
                     continue
                 try:
