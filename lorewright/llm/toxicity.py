@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,16 +16,18 @@ from pyspark.sql import functions as F
 
 from .common import shipped
 
-#: Characters of a subsequence, span of it at most, decay of a span's character, classes of characters.
-LENGTH, SPAN, DECAY, CLASSES = 3, 5, 0.6, 48
+#: Characters of a subsequence, span of it at most, decay of a span's character, classes of characters, those among them that rarer characters share.
+LENGTH, SPAN, DECAY, CLASSES, SHARED = 3, 5, 0.6, 64, 16
 #: Offsets of the second and third character.
 STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 #: Labelled documents of either class learned from at most; longest of them; landmarks from toxic and clean words; rounds.
-TOXIC, CLEAN, LONGEST, LANDMARKS, ROUNDS = 2000, 4000, 200_000, (160, 32), 5
+TOXIC, CLEAN, LONGEST, LANDMARKS, ROUNDS = 2000, 4000, 200_000, (160, 32), 6
+#: Characters of all texts learned from at most; hashes by which copies of a text are known.
+LEARNED, COPIES = 60_000_000, 3
 #: Variants of a landmark with a character put in, and their weight as examples.
 VARIANTS, VARIANT_WEIGHT = 4, 0.5
-#: Clean texts' words this near the plane become counter-examples.
-NEAR = -0.6
+#: Clean texts' words this near the plane become counter-examples, and a toxic text's word nearest to it this near becomes an example.
+NEAR, WITNESS = -0.6, -0.3
 #: A word whose score is bounded by this chance is not looked at further.
 FLOOR = 0.02
 CHUNK = 1 << 20
@@ -51,15 +54,15 @@ class Model:
         return kernel(words, self.classes, self.rows, self.landmarks) @ self.projection @ self.plane[:-1] + self.plane[-1]
 
     def chances(self, texts: list[str], seen: dict[str, float]) -> np.ndarray:
-        """Chance of toxicity of every text: that of its worst word. `seen` remembers words."""
-        worst = np.full(len(texts), self.lowest)
+        """Chance of toxicity of every text: that of its worst word; of a text without words, FLOOR at most. `seen` remembers words."""
+        worst = np.full(len(texts), -np.inf)
         begin = 0
         while begin < len(texts):
             end, held = begin, 0
             while end < len(texts) and (end == begin or held + len(texts[end]) <= CHUNK):
                 held += len(texts[end])
                 end += 1
-            doc, words = suspects(texts[begin:end], self.classes, self.bound, self.plane[-1], self.lowest)
+            doc, words = suspects(texts[begin:end], self.classes, self.bound, self.plane[-1], self.lowest, True)
             new = [w for w in dict.fromkeys(words) if w not in seen]
             if len(seen) > 200_000:
                 seen.clear()
@@ -67,6 +70,7 @@ class Model:
             seen.update(zip(new, self.values(new).tolist(), strict=True) if new else ())
             np.maximum.at(worst, begin + doc, np.array([seen[w] for w in words])) if words else None
             begin = end
+        worst = np.where(np.isfinite(worst), worst, min(self.lowest, self.plane[-1]))
         return 1 / (1 + np.exp(-(self.slope * worst + self.shift)))
 
 
@@ -77,22 +81,23 @@ def code_points(text: str) -> np.ndarray:
 
 def classed(points: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Class of each code point: 0 white space, CLASSES for what is skipped, else 1 to CLASSES - 1."""
-    return classes[np.minimum(points, len(classes) - 1)]
+    return classes[points]
 
 
 def letters(texts: list[str]) -> np.ndarray:
-    """Classes of code points: the most frequent letters and digits have their own, the others share one; marks between letters are skipped."""
+    """Classes of code points: the most frequent letters and digits have their own, the others are dealt to SHARED ones, whatever their script; marks between letters are skipped."""
     counts: Counter = Counter()
     for t in texts:
         counts.update(t.lower())
-    out = np.full(0x3000, CLASSES, np.uint8)
+    own = CLASSES - 1 - SHARED
+    out = np.full(0x110000, CLASSES, np.uint8)
     for c in range(len(out)):
-        if chr(c).isspace():
+        x = chr(c)
+        if x.isspace():
             out[c] = 0
-        elif chr(c).isalnum():
-            out[c] = CLASSES - 1
-    out[-1] = CLASSES - 1
-    common = [c for c, _ in counts.most_common() if c.isalnum() and ord(c) < len(out) - 1][: CLASSES - 2]
+        elif x.isalnum() or c >= 0x1F000:  # pictures are like letters
+            out[c] = own + 1 + (c * 2654435761 >> 7) % SHARED
+    common = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if c.isalnum()][:own]
     for k, c in enumerate(sorted(common)):
         out[ord(c)] = k + 1
     return out
@@ -149,7 +154,7 @@ def least_norms(size: int) -> np.ndarray:
     return np.sqrt(np.maximum(sum(np.maximum(n - b, 0) * DECAY ** (2 * b + 2) for _, b in STEPS), 1e-12))
 
 
-def suspects(texts: list[str], classes: np.ndarray, weights: np.ndarray, shift: float, lowest: float) -> tuple[np.ndarray, list[str]]:
+def suspects(texts: list[str], classes: np.ndarray, weights: np.ndarray, shift: float, lowest: float, every: bool = False) -> tuple[np.ndarray, list[str]]:
     """Texts and words whose distance from the plane may be over `lowest`: the norm's lower bound bounds it from above."""
     c, points, starts, doc = stream(texts, classes)
     if not len(c):
@@ -160,7 +165,15 @@ def suspects(texts: list[str], classes: np.ndarray, weights: np.ndarray, shift:
     sizes = np.diff(np.concatenate([starts, [len(c) + 1]])) - 1
     sums = np.add.reduceat(total, np.minimum(starts, len(c)))
     norms = least_norms(int(sizes.max(initial=0)))
-    found = np.flatnonzero((sizes >= LENGTH) & (sums / norms[np.maximum(sizes, 0)] + shift >= lowest - 1e-3))
+    # a sum below 0 is not bounded by the least norm, but then the value is under the shift
+    most = np.where(sizes >= LENGTH, np.maximum(sums, 0) / norms[np.maximum(sizes, 0)] + shift, -np.inf)
+    chosen = most >= lowest - 1e-3
+    if every:  # of texts without any, the word with the highest bound
+        order = np.lexsort((-sums / norms[np.maximum(sizes, 0)], doc))
+        first = order[np.flatnonzero(np.concatenate([[True], doc[order][1:] != doc[order][:-1]]))]
+        none = np.bincount(doc, chosen, len(texts))[doc[first]] == 0
+        chosen[first[none & (sizes[first] >= LENGTH)]] = True
+    found = np.flatnonzero(chosen)
     words = ["".join(map(chr, points[starts[w] : starts[w] + sizes[w]])) for w in found]
     return doc[found], words
 
@@ -221,25 +234,35 @@ def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 0
     return w
 
 
+def marks_of(words: list[str]) -> list[int]:
+    """COPIES min-hashes of a text's triples of words: copies of a text, near ones too, mostly share them."""
+    triples = {zlib.crc32("\0".join(words[k : k + 3]).encode("utf-8", "replace")) for k in range(max(1, len(words) - 2))}
+    x = np.fromiter(triples, np.uint64, len(triples))
+    return [int(((x * np.uint64(m) + np.uint64(s)) & np.uint64(0xFFFFFFFF)).min()) for m, s in ((2654435761, 1), (2246822519, 7), (3266489917, 13))[:COPIES]]
+
+
 def trained(texts: list[str], labels: list[int]) -> Model | None:
     """The model of labelled texts; None if a class is missing.
 
-    A toxic text holds words that make it so, and which ones is unknown. Words whose different neighbourhoods (copies of a text
-    count once by this) lie so much more in toxic texts that chance explains none of them are the positive examples, and the
-    strongest are landmarks. In turns the machine is trained, and the clean texts' words that come near the plane become
-    counter-examples, until there are no new ones.
+    A toxic text holds words that make it so, and which ones is unknown: each labelled text is a bag of words (multiple-instance learning).
+    Words that lie so much more in toxic texts than chance explains begin as the examples, and the strongest are landmarks; copies
+    of a text count once in this. Then in turns the machine is trained; of each toxic text the word nearest to its side becomes the
+    example that stands for the text, if it is near enough (a text without such a word is a label that nothing explains); and the clean texts'
+    words that come near the plane become counter-examples; until neither changes. The chance is fitted to the texts' labels.
     """
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
         return None
     classes = letters(texts)
-    near: tuple[dict[str, set], dict[str, set]] = ({}, {})
+    near: tuple[dict[str, list[set]], dict[str, list[set]]] = ({}, {})
     for t, k in zip(texts, y.tolist(), strict=True):
         r = units(t, classes)
-        for before, w, after in zip(["", *r[:-1]], r, [*r[1:], ""], strict=True):
+        own = marks_of(r)
+        for w in set(r):
             if len(w) >= LENGTH:
-                near[k].setdefault(w, set()).add(hash((before, after)) & 0xFFFF)
-    neg, pos = ({w: len(c) for w, c in x.items()} for x in near)
+                for s, m in zip(near[k].setdefault(w, [set() for _ in own]), own, strict=True):
+                    s.add(m)
+    neg, pos = ({w: min(map(len, c)) for w, c in x.items()} for x in near)
     if not pos or not neg:
         return None
     strong = marking(pos, neg)
@@ -256,33 +279,46 @@ def trained(texts: list[str], labels: list[int]) -> Model | None:
     projection = vectors[:, good] / np.sqrt(eigen[good])
     held = set(strong)
     counter = dict.fromkeys(w for w in [*common[:4000], *common[4000 :: max(1, len(common) // 16_000)]] if w not in held)
-    clean = [t for t, k in zip(texts, y, strict=True) if not k]
-    examples = [(w, math.sqrt(pos[w])) for w in strong] + [(v, VARIANT_WEIGHT * math.sqrt(pos[w])) for w in strong[: LANDMARKS[0]] for v in variants(w, classes)]
-    plus = kernel([w for w, _ in examples], classes, table, weights) @ projection
+    clean, toxic = ([t for t, k in zip(texts, y, strict=True) if k == c] for c in (0, 1))
+    written = [v for w in strong[: LANDMARKS[0]] for v in variants(w, classes)]
+    share = {v: VARIANT_WEIGHT * math.sqrt(pos[w]) for w in strong[: LANDMARKS[0]] for v in variants(w, classes)} | {w: math.sqrt(pos[w]) for w in strong}
     minus = kernel(list(counter), classes, table, weights) @ projection
-    share = np.array([x for _, x in examples])
+    # a word like no landmark, and with it any script that the labels don't hold, is on the clean side
+    minus, strange = np.vstack([np.zeros((1, minus.shape[1])), minus]), 50.0
     for _ in range(ROUNDS):
+        plus = kernel(list(share), classes, table, weights) @ projection
         sign = np.concatenate([np.ones(len(plus)), -np.ones(len(minus))])
-        weight = np.concatenate([share / share.sum() * 1000, np.full(len(minus), 0.5)])
+        weight = np.concatenate([np.array(list(share.values())) / sum(share.values()) * 1000, [strange], np.full(len(minus) - 1, 0.5)])
         model = Model(classes, table, weights, projection, machine(np.vstack([plus, minus]), sign, weight), 1.0, 0.0)
+        chosen = Counter(w for w, v in witnesses(model, toxic) if v > WITNESS and w not in counter)
+        stand = share | {w: math.sqrt(n) for w, n in chosen.items()}
         new = {}
         for begin in range(0, len(clean), 64):
             new |= dict.fromkeys(w for w in suspects(clean[begin : begin + 64], classes, model.bound, model.plane[-1], NEAR)[1] if w not in counter and w not in held)
         values = model.values(list(new)) if new else np.zeros(0)
         new = [w for w, v in zip(new, values.tolist(), strict=True) if v > NEAR]
-        if not new:
+        stand = {w: x for w, x in stand.items() if w in held or w in written or w not in new}
+        if not new and stand == share:
             break
-        minus = np.vstack([minus, kernel(new, classes, table, weights) @ projection])
+        if new:
+            minus = np.vstack([minus, kernel(new, classes, table, weights) @ projection])
         counter |= dict.fromkeys(new)
-    worst, seen = [], {}
+        share = {w: x for w, x in stand.items() if w not in counter or w in held}
+    worst = [max(NEAR, v) for _, v in witnesses(model, texts)]
+    others = model.values(written) if written else np.zeros(0)
+    slope, shift = calibrated(np.concatenate([worst, np.maximum(others, NEAR)]), np.concatenate([y, np.ones(len(others), y.dtype)]))
+    return Model(classes, table, weights, projection, model.plane, slope, shift)
+
+
+def witnesses(model: Model, texts: list[str]) -> list[tuple[str, float]]:
+    """The word of each text that lies furthest on the toxic side, and how far; without any near it, "" and minus infinity."""
+    out, seen = [], {}
     for t in texts:
-        words = suspects([t], classes, model.bound, model.plane[-1], NEAR)[1]
+        words = suspects([t], model.classes, model.bound, model.plane[-1], NEAR)[1]
         new = [w for w in dict.fromkeys(words) if w not in seen]
         seen.update(zip(new, model.values(new).tolist(), strict=True) if new else ())
-        worst.append(max([NEAR, *(seen[w] for w in words)]))
-    written = model.values([v for w in strong[: LANDMARKS[0]] for v in variants(w, classes)])
-    slope, shift = calibrated(np.concatenate([worst, np.maximum(written, NEAR)]), np.concatenate([y, np.ones(len(written), y.dtype)]))
-    return Model(classes, table, weights, projection, model.plane, slope, shift)
+        out.append(max(((w, seen[w]) for w in words), key=lambda x: (x[1], x[0]), default=("", -math.inf)))
+    return out
 
 
 def variants(word: str, classes: np.ndarray) -> list[str]:
@@ -332,7 +368,7 @@ def units(text: str, classes: np.ndarray) -> list[str]:
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[str], list[int]]:
     """Whole labelled texts and labels: of each class, those that come first by a hash of their ids, TOXIC and CLEAN of them at most,
-    none longer than LONGEST characters. Null texts and labels are left out; of several labels of an id the largest counts."""
+    none longer than LONGEST characters and LEARNED characters in all. Null texts and labels are left out; of several labels of an id the largest counts."""
     known = labels.where(learn & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("_y"))
     place = F.crc32(F.concat(F.lit("toxic:"), F.col(id_col).cast("string")))
     picked = None
@@ -340,13 +376,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str
         part = known.where(F.col("_y") == y).orderBy(place, id_col).limit(most)
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select(id_col, text_col).where(F.col(text_col).isNotNull() & (F.length(text_col) <= LONGEST)).join(F.broadcast(picked), id_col)
+    # lengths first: whole texts come only as far as LEARNED reaches
+    sizes = sorted(map(tuple, rows.select(place, id_col, F.length(text_col)).distinct().collect()))
+    held = np.cumsum([r[2] for r in sizes])
+    within = [r[1] for r, x in zip(sizes, held.tolist(), strict=True) if x <= LEARNED]
+    rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in within], f"{id_col} {dict(docs.dtypes)[id_col]}")), id_col)
     found = sorted(map(tuple, rows.select(id_col, text_col, "_y").collect()))
     return [r[1] for r in found], [r[2] for r in found]
 
 
 def scored(docs: DataFrame, texts: list[str], labels: list[int], text_col: str = "text") -> DataFrame:
-    """`docs` with score: the chance that a text is toxic, by its worst word. Null texts are empty ones and get the lowest score;
-    so do all texts if nothing was learned. The broadcast model's size doesn't depend on the corpus."""
+    """`docs` with score: the chance that a text is toxic, by its worst word. Null texts are empty ones and score FLOOR at most;
+    if nothing was learned, all texts get 0. Repeated rows score alike. The broadcast model's size doesn't depend on the corpus."""
     spark = docs.sparkSession
     shipped(spark)
     shared = spark.sparkContext.broadcast(trained(texts, labels))
