@@ -24,7 +24,9 @@ def fold(k: int):
 
 def op1_secret_scan(spark, sf_dir):
     """Every candidate string of every document and the forest's verdict."""
-    found = secrets.scanned(common.table(spark, sf_dir, "documents"), secrets.trained(spark))
+    docs = common.table(spark, sf_dir, "documents")
+    words = secrets.dictionary(docs)
+    found = secrets.scanned(docs, secrets.trained(spark, words), words)
     return found.select("doc_id", "begin", F.length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"), F.round("chance", 6).alias("chance"), "is_secret")
 
 

@@ -1,139 +1,259 @@
-"""Secret scans: candidate strings by pattern, false positives removed by a random forest trained on labelled findings."""
+"""Secret scans: candidate strings from whole texts, false positives removed by a random forest trained on labelled findings."""
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
+import string
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shipped
+from .common import shipped, with_whole_ids
 
-#: A candidate: a run of 12 or more of these characters, at least one of them a digit.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.@-])(?=[A-Za-z+/_=.@-]{0,60}[0-9])[A-Za-z0-9+/_=.@-]{12,}")
+#: A token is a run without white space, quotes, brackets, commas, semicolons and bars; what punctuation may stand at its ends; least length.
+TOKEN = re.compile(r"[^\s\"'`<>(){}\[\],;|]+")
+ENDS, LEAST = ".:!?*#$%&~", 8
+#: A plain word of fewer characters is no candidate, unless a marker and an assignment stand before it.
+PLAIN = 24
+MARKED = re.compile(r"(?i)(?:key|token|secret|passw\w*|pwd|pass|auth\w*|bearer|credential\w*)[\"']?\s*(?:[=:]|\bis\b)\s*[\"']?$")
+#: Least length of a token after a marker.
+MARKED_LEAST = 4
 #: Characters of context on either side.
 BEFORE, AFTER = 48, 24
-#: Words near a finding that speak for and against a secret, and plain words of which ordinary identifiers are made.
-FOR = ["key", "token", "secret", "password", "passwd", "pwd", "auth", "bearer", "credential", "private", "aws", "apikey"]
-AGAINST = ["commit", "sha", "md5", "checksum", "version", "release", "uuid", "order", "invoice", "phone", "call", "mail", "http", "ip", "page", "isbn", "build"]
-PLAIN = [
-    "access", "account", "address", "admin", "article", "book", "build", "chapter", "client", "code", "config", "data", "date", "demo",
-    "doc", "document", "example", "file", "final", "green", "home", "house", "image", "index", "item", "license", "line", "list",
-    "log", "mail", "main", "model", "name", "node", "number", "order", "page", "part", "phone", "report", "sample", "section",
-    "server", "step", "table", "test", "time", "type", "user", "value", "version", "week", "work", "year",
+#: Words near a finding that speak for and against a secret.
+FOR = re.compile(r"(?i)key|token|secret|passw|passphrase|pwd|auth|bearer|credential|private|signing|access")
+AGAINST = re.compile(r"(?i)\b(?:commit|sha\d*|md5|checksum|digest|etag|version|release|uuid|guid|order|invoice|phone|call|tel|fax|mail|ip|page|isbn|build|example|ticket|tracking)\b")
+FEATURES = [
+    "length", "switches", "repeats", "digits", "uppers", "others", "kinds", "entropy", "cover", "longest_word", "segments", "word_segments", "path", "extension", "mail",
+    "numeric", "hexadecimal", "grouped", "assigned", "quoted", "good", "bad", "near_good",
 ]
-FEATURES = ["length", "switches", "repeats", "digits", "uppers", "kinds", "words", "slashes", "dots", "ats", "assigned", "quoted", "good", "bad"]
+#: Words of the dictionary and how often each must occur; distinct words a task counts before it hands them on.
+WORDS, OFTEN, COUNTED = 50_000, 3, 200_000
+#: Longest word looked up in a candidate, and characters of a candidate whose letters are looked up (longer ones by parts of that size).
+LONGEST = 16
 #: Trees, their depth, findings trained on at most, and the chance from which a finding is a secret.
-TREES, DEPTH, FINDINGS, THRESHOLD = 40, 8, 20_000, 0.5
+TREES, DEPTH, FINDINGS, THRESHOLD = 60, 10, 20_000, 0.5
+_WORD = re.compile(r"[^\W\d_]{3,24}")
+
+
+def found_in(text: str) -> Iterator[tuple[int, str]]:
+    """Begin and value of every candidate of a text: each token of LEAST characters or more that isn't one plain word, and each that stands after a marker and an assignment.
+
+    A plain word has letters alone, of one case or with a capital at its head, and fewer than PLAIN of them. An assignment inside a token parts
+    its name from its value.
+    """
+    for m in TOKEN.finditer(text):
+        value, at = m[0], m.start()
+        cut = re.match(r"[A-Za-z_][A-Za-z0-9_.-]*[=:](?=[^=:/])", value)
+        if cut:
+            value, at = value[cut.end() :], at + cut.end()
+        inner = value.lstrip(ENDS)
+        at, value = at + len(value) - len(inner), inner.rstrip(ENDS)
+        plain = value.isalpha() and len(value) < PLAIN and (value.islower() or value.istitle() or value.isupper())
+        if len(value) >= LEAST and not plain or len(value) >= MARKED_LEAST and MARKED.search(text[max(0, at - BEFORE) : at]):
+            yield at, value
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every candidate in every whole text: doc_id, begin (in characters), value, before, after. Null texts have none."""
+    """found_in() every whole text: doc_id, begin (in characters), value, before, after. Null and empty texts have none; rows that repeat have theirs repeated."""
     shipped(docs.sparkSession)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-                for m in CANDIDATE.finditer(text or ""):
-                    a, z = m.span()
-                    rows.append((None if doc_id != doc_id else doc_id, a, m[0], text[max(0, a - BEFORE) : a], text[z : z + AFTER]))
-            yield pd.DataFrame(rows, columns=["doc_id", "begin", "value", "before", "after"]).astype({"doc_id": "Int64", "begin": "int64"})
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(find, "doc_id long, begin long, value string, before string, after string")
-
-
-def with_features(found: DataFrame) -> DataFrame:
-    """`found` (value, before, after) plus FEATURES: length, character transitions, dictionary cover, path marks and neighbouring words."""
-    v, n = F.coalesce("value", F.lit("")), F.greatest(F.length(F.coalesce("value", F.lit(""))), F.lit(1))
-    kinds = F.translate(F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A"), "+/_=.@-", "#######")
-    near = F.lower(F.concat_ws(" ", F.coalesce("before", F.lit("")), F.coalesce("after", F.lit(""))))
-
-    def cover(words: list[str], text: Column) -> Column:
-        return F.length(text) - F.length(F.regexp_replace(text, "(?i)" + "|".join(words), ""))
-
-    def share(pattern: str) -> Column:
-        return F.regexp_count(v, F.lit(pattern)) / n
-
-    made = {
-        "length": F.least(F.length(v), F.lit(200)),
-        "switches": F.length(F.regexp_replace(kinds, "(.)\\1+", "$1")) / n,
-        "repeats": 1 - F.size(F.array_distinct(F.split(v, ""))) / n,
-        "digits": share("[0-9]"),
-        "uppers": share("[A-Z]"),
-        "kinds": F.size(F.array_distinct(F.split(kinds, ""))),
-        "words": cover(PLAIN, v) / n,
-        "slashes": share("/"),
-        "dots": share("[.]"),
-        "ats": share("@"),
-        "assigned": F.coalesce("before", F.lit("")).rlike("[=:]\\s*[\"']?$") | v.rlike("^[A-Za-z_]+=."),
-        "quoted": F.coalesce("before", F.lit("")).rlike("[\"']$"),
-        "good": F.regexp_count(F.concat(near, F.lit(" "), F.lower(F.regexp_extract(v, "^[A-Za-z_]+=", 0))), F.lit("|".join(FOR))),
-        "bad": F.regexp_count(near, F.lit("\\b(" + "|".join(AGAINST) + ")")),
-    }
-    return found.withColumns({k: c.cast("double") for k, c in made.items()})
-
-
-def labelled_findings(n: int = 4000, seed: int = 5) -> list[tuple[str, str, str, int]]:
-    """Labelled findings (value, before, after, label) made from a seed: keys, tokens and passwords beside hashes, numbers, mails, paths and words."""
+            for doc_id, nil, text in zip(batch["doc_id"].tolist(), batch["nil"].tolist(), batch["text"].tolist(), strict=True):
+                for a, value in found_in(text or ""):
+                    z = a + len(value)
+                    rows.append((doc_id, nil, a, value, text[max(0, a - BEFORE) : a], text[z : z + AFTER]))
+            yield pd.DataFrame(rows, columns=["doc_id", "nil", "begin", "value", "before", "after"]).astype({"doc_id": "int64", "begin": "int64", "nil": "bool"})
+
+    found = with_whole_ids(docs, id_col, text_col).mapInPandas(find, "doc_id long, nil boolean, begin long, value string, before string, after string")
+    return found.withColumn("doc_id", F.when(~F.col("nil"), F.col("doc_id"))).drop("nil")
+
+
+def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """The WORDS most frequent words of all whole texts, lower-cased, that occur OFTEN or more."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: Counter = Counter()
+        for batch in batches:
+            for text in batch["text"].tolist():
+                held.update(_WORD.findall((text or "").lower()))
+                if len(held) > COUNTED:
+                    yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+                    held.clear()
+        if held:
+            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+
+    rows = docs.select(F.col(text_col).alias("text")).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return sorted(r[0] for r in rows.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "word").limit(WORDS).collect())
+
+
+def covered(value: str, words: set[str]) -> tuple[int, int, int]:
+    """Letters of a value, those inside its words (longest first, from the left), and the longest word."""
+    letters = inside = longest = 0
+    parts = re.findall(r"[^\W\d_]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value))
+    for part in parts:
+        low, k = part.lower(), 0
+        letters += len(low)
+        while k < len(low):
+            size = next((n for n in range(min(LONGEST, len(low) - k), 2, -1) if low[k : k + n] in words), 0)
+            inside, longest = inside + size, max(longest, size)
+            k += size or 1
+    return letters, inside, longest
+
+
+def features_of(value: str, before: str, after: str, words: set[str]) -> list[float]:
+    """FEATURES of a finding: its length, character transitions, dictionary coverage, path and neighbouring words."""
+    n = max(len(value), 1)
+    kinds = [0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in value]
+    letters, inside, longest = covered(value, words)
+    segments = [s for s in re.split(r"[/\\._:@+=-]+", value) if s]
+    counts = np.array(list(Counter(value).values()), float) / n
+    last = segments[-1] if segments else ""
+    head = before.rsplit("\n", 1)[-1]
+    return [
+        float(min(n, 200)),
+        sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n,
+        1 - len(set(value)) / n,
+        kinds.count(0) / n,
+        kinds.count(2) / n,
+        kinds.count(3) / n,
+        float(len(set(kinds))),
+        float(-(counts * np.log2(counts)).sum()) if n > 1 else 0.0,
+        inside / max(letters, 1),
+        float(longest),
+        float(min(len(segments), 20)),
+        sum(s.isalpha() and (s.lower() in words) for s in segments) / max(len(segments), 1),
+        float("/" in value or "\\" in value or value.startswith("www.")),
+        float(2 <= len(last) <= 4 and last.isalpha() and len(segments) > 1 and "." in value),
+        float(bool(re.fullmatch(r"[^@\s]+@[^@\s]+\.[A-Za-z]{2,}", value))),
+        float(bool(re.fullmatch(r"[\d.+:/TZ-]+", value))),
+        float(bool(re.fullmatch(r"(0x)?([0-9a-f-]+|[0-9A-F-]+)", value)) and any(c.isdigit() for c in value)),
+        float(bool(re.fullmatch(r"[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}", value))),
+        float(bool(re.search(r"[=:]\s*[\"']?$|\bis\s+[\"']?$", head))),
+        float(head.endswith(('"', "'", "`"))),
+        float(len(FOR.findall(head))),
+        float(len(AGAINST.findall(head[-24:] + " " + after[:12]))),
+        float(bool(FOR.search(head[-20:]))),
+    ]
+
+
+def with_features(found: DataFrame, words: list[str]) -> DataFrame:
+    """`found` (value, before, after; nulls are empty) plus _features, the FEATURES in order."""
+    shared = found.sparkSession.sparkContext.broadcast(set(words))
+
+    def make(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        known = shared.value
+        for values, before, after in batches:
+            yield pd.Series([features_of(v or "", b or "", a or "", known) for v, b, a in zip(values.tolist(), before.tolist(), after.tolist(), strict=True)])
+
+    return found.withColumn("_features", F.pandas_udf(make, "array<double>")("value", "before", "after"))
+
+
+def labelled_findings(words: list[str], n: int = 6000, seed: int = 5) -> list[tuple[str, str, str, int]]:
+    """Labelled findings (value, before, after, label) made from a seed where no labelled ones are given, in words of the corpus.
+
+    Secrets are random strings over several alphabets in the places where they leak: assignments of code, shell, JSON and YAML, headers,
+    addresses with a password, prose. The others are hard: words of the corpus joined as identifiers, paths, files and addresses; numbers,
+    dates, phones, versions; and random strings that are public by what stands beside them (digests, revisions, numbers of things).
+    """
     rng = random.Random(seed)
-    low, up, dig = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-    text = lambda chars, k: "".join(rng.choice(chars) for _ in range(k))
-    word = lambda: rng.choice(PLAIN)
-    filler = lambda: " ".join(text(low, rng.randint(2, 9)) for _ in range(rng.randint(2, 6)))
-    hexed = lambda k: hashlib.sha512(str(rng.random()).encode()).hexdigest()[:k]
+    plain = [w for w in words if w.isalpha()] or ["lorem", "ipsum", "dolor", "amet"]
+    word = lambda: rng.choice(plain)
+    text = lambda chars, low, high: "".join(rng.choice(chars) for _ in range(rng.randint(low, high)))
+    prose = lambda: " ".join(word() for _ in range(rng.randint(1, 7)))
+    alnum, hexed, wide = string.ascii_letters + string.digits, "0123456789abcdef", string.ascii_letters + string.digits + "+/"
+    name = lambda: rng.choice(["", word() + "_", word() + "-", word()[:3].upper() + "_"]) + rng.choice(["key", "api_key", "apikey", "token", "secret", "password", "passwd", "pwd", "auth", "access_token", "client_secret", "SECRET", "TOKEN", "PASSWORD", "privateKey"])
+    thing = lambda: rng.choice([word(), "commit", "sha1", "sha256", "md5", "checksum", "digest", "etag", "uuid", "order", "revision", "build", "version", "ticket"])
+
+    def given(label: str) -> str:
+        q = rng.choice(["", '"', "'"])
+        return rng.choice([f"{label}={q}", f"{label} = {q}", f"{label}: {q}", f'"{label}": "', f"--{label} ", f"export {label}={q}", f"{label} is {q}", f"{label} {q}"])
+
+    def secret() -> tuple[str, str]:
+        kind = rng.randrange(8)
+        if kind == 0:
+            return text(hexed, 24, 64), given(name())
+        if kind == 1:
+            return text(wide, 20, 88) + rng.choice(["", "=", "=="]), given(name())
+        if kind == 2:
+            return rng.choice(["", text(string.ascii_lowercase, 2, 5) + rng.choice("_-")]) + text(alnum, 20, 44), rng.choice([given(name()), prose() + " ", "Authorization: Bearer "])
+        if kind == 3:
+            return text(string.ascii_uppercase + string.digits, 16, 32), rng.choice([given(name()), prose() + " "])
+        if kind == 4:
+            base = list(word().capitalize() if rng.random() < 0.5 else text(alnum, 6, 12))
+            for _ in range(rng.randint(2, 5)):
+                base.insert(rng.randrange(len(base) + 1), rng.choice("!@#$%^&*?0123456789"))
+            return "".join(base) + rng.choice(string.ascii_letters), given(rng.choice(["password", "passwd", "pwd", "pass", "PASSWORD", name()]))
+        if kind == 5:
+            return ".".join(text(alnum + "_-", low, 2 * low) for low in (18, 30, 30)), rng.choice(["Bearer ", given("token"), prose() + " "])
+        if kind == 6:
+            return f"{word()}:{text(alnum, 10, 20)}@{word()}.{word()}", f"{rng.choice(['postgres', 'mysql', 'amqp', 'https'])}://"
+        return text(string.ascii_letters, 20, 60), given(name())
+
+    def harmless() -> tuple[str, str]:
+        kind = rng.randrange(14)
+        digits = string.digits
+        if kind == 0:
+            return text(hexed, 32, 64)[: rng.choice([32, 40, 64])], f"{prose()} {thing()}{rng.choice([' ', ': ', ' = '])}"
+        if kind == 1:
+            return "-".join(text(hexed, k, k) for k in (8, 4, 4, 4, 12)), f"{prose()} {rng.choice([word(), 'uuid', 'order', 'id', 'ticket'])}{rng.choice([' ', ': ', '='])}"
+        if kind == 2:
+            return text(digits, 8, 20), prose() + rng.choice([" ", " order ", " phone: ", " no. ", " isbn "])
+        if kind == 3:
+            return f"{word()}.{text(alnum, 1, 3)}@{word()}{text(digits, 0, 2)}.{rng.choice(['com', 'org', 'example.com', 'net'])}", prose() + rng.choice([" ", " mail: ", " contact "])
+        if kind == 4:
+            return "/".join([rng.choice(["", "usr", "var", word()]), word(), word(), word() + rng.choice(["", text(digits, 1, 3)]) + rng.choice(["", ".py", ".json", ".html", ".txt"])]), prose() + " "
+        if kind == 5:
+            return rng.choice(["_", "-", "", "."]).join([word(), word().capitalize(), word(), rng.choice(["", text(digits, 1, 4)])]), rng.choice([prose() + " ", given(word()), given(name())])
+        if kind == 6:
+            return ".".join(text(digits, 1, 3) for _ in range(4)), prose() + rng.choice([" ", " ip ", " host: "])
+        if kind == 7:
+            return rng.choice(["+", ""]) + "-".join(text(digits, k, k) for k in rng.choice([(2, 3, 7), (3, 4), (4, 2, 2), (3, 3, 4)])), prose() + rng.choice([" ", " phone ", " call ", " on "])
+        if kind == 8:
+            return f"20{text(digits, 2, 2)}-{text('01', 2, 2)}-{text('012', 2, 2)}T{text(digits, 2, 2)}:{text('012345', 2, 2)}:00Z", prose() + " "
+        if kind == 9:
+            return f"//{word()}.{word()}.com/{word()}/{word()}-{word()}" + rng.choice(["", f"?{word()}={text(digits, 1, 5)}"]), rng.choice(["https:", "http:"])
+        if kind == 10:
+            return rng.choice(["${" + word(), "your-" + word() + "-here", "<" + word(), "x" * rng.randint(8, 20), "*" * 3 + word() * 2, f"os.environ.{word()}", f"example_{word()}", "changeme"]).strip("${<*"), given(name())
+        if kind == 11:
+            return (word() + word() + word())[: rng.randint(24, 40)].ljust(24, "a"), prose() + " "
+        if kind == 12:
+            return f"v{text(digits, 1, 2)}.{text(digits, 1, 2)}.{text(digits, 1, 3)}-{word()}", prose() + rng.choice([" ", " version ", " release "])
+        return rng.choice("!#%&*$").join([word(), word()]) + rng.choice(["***", "$$$", "###", ""]), prose() + " "
+
     out = []
     for k in range(n):
-        name = rng.choice(FOR)
-        if k % 2:
-            value, before = rng.choice([
-                (lambda: ("AKIA" + text(up + dig, 16), rng.choice([" ", " key ", ' aws_access_key_id = "'])))(),
-                (lambda: (hexed(rng.choice([32, 40, 64])), f' {name} = "'))(),
-                (lambda: (hexed(rng.choice([16, 20, 32])), f" {name}: "))(),
-                (lambda: (f"{name}={hexed(rng.choice([16, 24, 32]))}", " "))(),
-                (lambda: (text(low + up + dig + "+/", rng.choice([32, 40, 44])), f' {name} = "'))(),
-                (lambda: (rng.choice(["ghp_", "sk-", "xoxb-", "glpat-"]) + text(low + up + dig, rng.randint(24, 40)), rng.choice([" ", f" {name} "])))(),
-            ])
-            out.append((value, filler() + before, " " + filler(), 1))
-        else:
-            value, before = rng.choice([
-                (lambda: (hexed(rng.choice([32, 40, 64])), rng.choice([" commit ", " sha ", " md5 ", " checksum: "])))(),
-                (lambda: (f"{hexed(8)}-{hexed(4)}-{hexed(4)}-{hexed(4)}-{hexed(12)}", rng.choice([" uuid ", " order "])))(),
-                (lambda: (text(dig, rng.randint(12, 20)), rng.choice([" ", " phone ", " order ", " isbn "])))(),
-                (lambda: (f"{text(low, 4)}.{text(dig, 2)}@mail{text(dig, 1)}.example.com", rng.choice([" ", " mail "])))(),
-                (lambda: ("/".join(word() for _ in range(3)) + f"/{word()}{text(dig, 2)}.{text(low, 3)}", " "))(),
-                (lambda: (f"{word()}_{word()}_{text(dig, 2)}", rng.choice([" ", f" {name} "])))(),
-                (lambda: (".".join(text(dig, 3) for _ in range(4)), rng.choice([" ", " ip "])))(),
-                (lambda: (f"+{text(dig, 2)}-{text(dig, 3)}-{text(dig, 7)}", rng.choice([" ", " phone ", " call "])))(),
-                (lambda: (f"{name}=example{text(dig, 4)}", " "))(),
-                (lambda: (text(low, rng.randint(8, 14)) + text(dig, rng.randint(1, 2)) + rng.choice(["", ".", text(low, 3)]), " "))(),
-                (lambda: (f"2{text(dig, 3)}-{text(dig, 2)}-{text(dig, 2)}T{text(dig, 2)}", " "))(),
-            ])
-            out.append((value, filler() + before, " " + filler(), 0))
+        value, before = (secret if k % 2 else harmless)()
+        close = before[-1] if before[-1:] in ('"', "'") else ""
+        out.append((value, f"{prose()}{rng.choice([' ', chr(10)])}{before}", f"{close}{rng.choice([' ', chr(10), ', ', '.'])}{prose()}", k % 2))
     return out
 
 
-def trained(spark: SparkSession, findings: DataFrame | None = None, seed: int = 5) -> RandomForestClassificationModel:
-    """The forest for labelled findings (value, before, after, label), FINDINGS of them at most; without any, for labelled_findings()."""
+def trained(spark: SparkSession, words: list[str], findings: DataFrame | None = None, seed: int = 5) -> RandomForestClassificationModel:
+    """The forest for labelled findings (value, before, after, label), FINDINGS of them at most; without any, for labelled_findings() in these words."""
+    shipped(spark)
     if findings is None:
-        findings = spark.createDataFrame(labelled_findings(seed=seed), "value string, before string, after string, label int")
-    known = with_features(findings.where("label in (0, 1)").orderBy(F.xxhash64("value", "before", "after")).limit(FINDINGS)).withColumn("label", F.col("label").cast("double"))
-    known = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(known).select("label", "features")
+        findings = spark.createDataFrame(labelled_findings(words, seed=seed), "value string, before string, after string, label int")
+    known = with_features(findings.where("label in (0, 1)").orderBy(F.xxhash64("value", "before", "after")).limit(FINDINGS).repartition(8), words)
+    known = known.select(F.col("label").cast("double").alias("label"), array_to_vector("_features").alias("features"))
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, subsamplingRate=0.7).fit(known.coalesce(1))
 
 
-def scanned(docs: DataFrame, model: RandomForestClassificationModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scanned(docs: DataFrame, model: RandomForestClassificationModel, words: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every candidate of every whole text with the forest's chance that it is a secret, and is_secret from THRESHOLD on.
 
-    A document without candidates has no row; one that repeats has its findings repeated. The forest is of fixed size and no shuffle is needed.
+    A document without candidates has no row; one that repeats has its findings repeated; an empty table gives no rows. Other columns are
+    never read. The forest and the dictionary are of fixed size and no shuffle is needed.
     """
-    found = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(candidates(docs, id_col, text_col)))
+    found = with_features(candidates(docs, id_col, text_col), words).withColumn("features", array_to_vector("_features"))
     scored = model.transform(found).withColumn("chance", vector_to_array("probability")[1])
     return scored.select("doc_id", "begin", "value", "before", "after", "chance", (F.col("chance") >= THRESHOLD).alias("is_secret"))
