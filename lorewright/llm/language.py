@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shipped
@@ -19,21 +19,23 @@ SAMPLE_DOCS, SAMPLE_BYTES = 400, 800_000
 #: Bytes whose evidence the score states at most: longer texts are scored by their mean.
 EVIDENCE = 64
 CHUNK = 1 << 20
+#: Code lengths are whole numbers of 1 / UNIT bits, so sums over a text are exact in any order.
+UNIT = 1 << 16
 UNDETERMINED = "und"
 
 
 @dataclass
 class Model:
-    """Frozen statistics: symbol of each byte, child contexts by (context, older symbol), bits by (context, symbol, language)."""
+    """Frozen statistics: symbol of each byte, child contexts by (context, older symbol), code lengths by (context, symbol, language) in units of 1 / UNIT bits."""
 
     languages: list[str]
     symbols: np.ndarray
     children: np.ndarray
-    bits: np.ndarray
+    units: np.ndarray
 
     def code_lengths(self, texts: list[str]) -> np.ndarray:
         """Bits of every text under each language's tree."""
-        out = np.zeros((len(texts), len(self.languages)))
+        out = np.zeros((len(texts), len(self.languages)), np.int64)
         batch: list[tuple[int, bytes]] = []
         held = 0
         for k, text in enumerate(texts):
@@ -46,7 +48,7 @@ class Model:
                     self._add(batch, out)
                     batch, held = [], 0
         self._add(batch, out)
-        return out
+        return out / UNIT
 
     def _add(self, batch: list[tuple[int, bytes]], out: np.ndarray) -> None:
         batch = [x for x in batch if len(x[1]) > ORDER]
@@ -56,14 +58,19 @@ class Model:
         ends = np.cumsum([len(x[1]) for x in batch])
         node, deepest = contexts(self.children, s, len(self.symbols_used))
         at = deepest * len(self.symbols_used) + s[ORDER:]
-        cost = self.bits.reshape(-1, len(self.languages))[at]
+        cost = self.units.reshape(-1, len(self.languages))[at]
         begins = np.concatenate([[0], ends[:-1]])
         lead = (begins[1:, None] - ORDER + np.arange(ORDER)[None, :]).ravel()
         cost[lead] = 0  # the filling before each later text
-        sums = np.add.reduceat(cost, begins, axis=0)
+        sums = np.add.reduceat(cost, begins, axis=0, dtype=np.int64)
         for (k, _), row in zip(batch, sums, strict=True):
             out[k] += row
 
+    @property
+    def bits(self) -> np.ndarray:
+        """Code lengths in bits."""
+        return self.units / UNIT
+
     @property
     def symbols_used(self) -> range:
         """Symbols: one for each byte seen in training, the last for all others."""
@@ -128,7 +135,7 @@ def trained(texts: dict[str, list[str]]) -> Model:
             bits[used + begin : used + end] = -np.log2(_mixed(count, above))
         nodes = [np.where(at >= 0, at + used, 0).astype(np.int32) for at in here]
         used += len(found)
-    return Model(languages, symbols, children[:used].ravel(), bits[:used])
+    return Model(languages, symbols, children[:used].ravel(), np.rint(bits[:used] * UNIT).astype(np.int32))
 
 
 def _mixed(count: np.ndarray, above: np.ndarray) -> np.ndarray:
@@ -143,7 +150,10 @@ def _mixed(count: np.ndarray, above: np.ndarray) -> np.ndarray:
 
 def training_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, list[str]]:
     """Whole labelled texts for each language: those of the rows where `learn` holds that come first by a hash of their ids,
-    SAMPLE_DOCS documents and SAMPLE_BYTES bytes of a language at most."""
+    SAMPLE_DOCS documents and SAMPLE_BYTES characters of a language at most (one more document may pass it).
+
+    Ids' hashes and lengths come first, 2 * SAMPLE_DOCS rows a language at most, and whole texts only of the chosen rows.
+    """
     known = docs.where(learn & F.col(lang_col).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
     if not counts:
@@ -152,13 +162,19 @@ def training_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_
     share = F.lit(0.0)
     for lang, count in sorted(counts.items()):
         share = F.when(F.col(lang_col) == lang, F.lit(min(1.0, 2 * SAMPLE_DOCS / count))).otherwise(share)
-    rows = known.where(place < share * F.lit(2.0**32)).where(F.col(text_col).isNotNull())
+    size = F.length(text_col)
+    rows = known.where(place < share * F.lit(2.0**32)).where(F.col(text_col).isNotNull()).withColumns({"_place": place, "_size": size, "_mark": F.xxhash64(text_col)})
+    first = Window.partitionBy(lang_col).orderBy("_place", "_mark")
+    sizes = rows.select(lang_col, "_place", "_size", "_mark").withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= SAMPLE_DOCS).collect()
+    chosen, held = [], {}
+    for lang, where, length, mark, _ in sorted(sizes, key=lambda r: (r[0], r[1], r[3])):
+        if held.get(lang, 0) < SAMPLE_BYTES:
+            chosen.append((lang, where, mark))
+            held[lang] = held.get(lang, 0) + length
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(sorted(set(chosen)), f"{lang_col} string, _place long, _mark long"))
     out: dict[str, list[str]] = {}
-    held: dict[str, int] = {}
-    for lang, _, text in sorted(map(tuple, rows.select(lang_col, place, text_col).collect())):
-        if len(out.setdefault(lang, [])) < SAMPLE_DOCS and held.get(lang, 0) < SAMPLE_BYTES:
-            out[lang].append(text)
-            held[lang] = held.get(lang, 0) + len(text)
+    for lang, _, text in sorted(map(tuple, rows.join(wanted, [lang_col, "_place", "_mark"]).select(lang_col, "_place", text_col).collect())):
+        out.setdefault(lang, []).append(text)
     return out
 
 
