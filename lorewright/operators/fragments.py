@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorewright.functions import documents, text
 
 
-def split_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per sentence: id, pos (from 0), texto, subtipo."""
-    found = docs.select(id_col, F.posexplode(text.sentences(F.col(text_col))).alias("pos", "texto"))
+def split_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per sentence: id, the columns of `keep`, pos (from 0), texto, subtipo."""
+    found = docs.select(id_col, *keep, F.posexplode(text.sentences(F.col(text_col))).alias("pos", "texto"))
     return found.withColumn("subtipo", text.subtype(F.col("texto")))
 
 
@@ -50,12 +52,17 @@ def silver_summary(fragments: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return fragments.groupBy(id_col).agg(F.avg(score).alias("quality_score"), F.bool_or("traducido").alias("traducido"), F.min_by("idioma_original", "pos").alias("idioma_original"), F.count(F.lit(1)).alias("num_fragmentos"))
 
 
-def render_documents(fragments: DataFrame, facts: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, contenido) of every document: `fragments` in order under a header from `facts` (fuente, tipo_fuente, autor, licencia)."""
+def render_documents(fragments: DataFrame, facts: DataFrame | None = None, id_col: str = "doc_id") -> DataFrame:
+    """(id, contenido) of every document: `fragments` in order under a header from `facts` (fuente, tipo_fuente, autor, licencia).
+
+    Without `facts` the fragments carry these columns themselves, so that no join is needed.
+    """
     item = F.struct("pos", "texto", "subtipo", "idioma_original", "idioma_fragmento")
-    grouped = fragments.groupBy(id_col).agg(F.sort_array(F.collect_list(item)).alias("fragmentos"))
+    carried = [] if facts is not None else [F.first(c).alias(c) for c in ("fuente", "tipo_fuente", "autor", "licencia")]
+    grouped = fragments.groupBy(id_col).agg(F.sort_array(F.collect_list(item)).alias("fragmentos"), *carried)
     whole = documents.rendered(F.col("fragmentos"), F.col("fuente"), F.col("tipo_fuente"), F.col("autor"), F.coalesce("licencia", F.lit(documents.LICENCE)))
-    return grouped.join(facts, id_col).select(id_col, whole.alias("contenido"))
+    rows = grouped if facts is None else grouped.join(facts, id_col)
+    return rows.select(id_col, whole.alias("contenido"))
 
 
 def parse_documents(rendered: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -80,10 +87,14 @@ def version_statistics(fragments: DataFrame, id_col: str = "doc_id") -> DataFram
 
 
 def file_names(docs: DataFrame, source: Column, id_col: str = "doc_id") -> DataFrame:
-    """`docs` plus nombre: the slug of the source, with -2, -3 ... for repeats in order of id.
+    """`docs` plus nombre, no name twice: the slug of the source, with -2, -3 ... for repeats in order of id.
 
-    A repeat takes the next number of its slug; a slug that itself ends like another's repeat is moved on by collisions() of the caller's choice.
+    Where slugs themselves end in such a number, the repeats of what stands before it are numbered after the largest of them.
     """
     base = docs.withColumn("_slug", text.slug(source))
+    numbered = base.select(F.regexp_extract("_slug", r"^(.+)-\d{1,9}$", 1).alias("_slug"), F.regexp_extract("_slug", r"-(\d{1,9})$", 1).try_cast("long").alias("_k"))
+    taken = numbered.where("_slug <> ''").groupBy("_slug").agg((F.max("_k") - 1).alias("_moved"))
     n = F.row_number().over(Window.partitionBy("_slug").orderBy(id_col))
-    return base.withColumn("_n", n).withColumn("nombre", F.when(F.col("_n") == 1, F.col("_slug")).otherwise(F.concat_ws("-", "_slug", F.col("_n").cast("string")))).drop("_n", "_slug")
+    frame = base.withColumn("_n", n).join(taken, "_slug", "left")
+    name = F.concat_ws("-", "_slug", (F.col("_n") + F.greatest(F.coalesce("_moved", F.lit(0)), F.lit(0))).cast("string"))
+    return frame.withColumn("nombre", F.when(F.col("_n") == 1, F.col("_slug")).otherwise(name)).select(*docs.columns, "nombre")

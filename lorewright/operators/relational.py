@@ -11,7 +11,11 @@ from lorewright.functions.keys import idempotency_key
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key in `order`; end it with a unique column so ties are decided."""
+    """The first row of each key in `order`; end it with a unique column so ties are decided.
+
+    Only the first rank is asked for, so each task passes on one row a key before the exchange (a window group limit): a hot key
+    is one row for each map task, not a partition of all its rows.
+    """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
@@ -31,7 +35,7 @@ def with_keys(rows: DataFrame, dimension: DataFrame, name: str, key: str = "id",
     """(`rows` with `key` found by exact name, the rows that `dimension` lacks with new keys after its largest, in order of name)."""
     top = dimension.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top"))
     missing = rows.select(F.col(name).alias(dim_name)).where(F.col(dim_name).isNotNull()).distinct().join(dimension.select(dim_name), dim_name, "left_anti")
-    new = numbered(missing, [F.col(dim_name)], "_n").crossJoin(F.broadcast(top)).select((F.col("_top") + F.col("_n")).alias(key), dim_name)
+    new = numbered(missing, [F.col(dim_name)], "_n").select((F.lit(top.first()[0]) + F.col("_n")).alias(key), dim_name)
     known = dimension.groupBy(dim_name).agg(F.min(key).alias(key)).unionByName(new.select(dim_name, key))
     return rows.join(known.withColumnRenamed(dim_name, name), name, "left"), new
 

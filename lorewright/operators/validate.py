@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorewright.functions import documents
+from lorewright.functions.text import bound
 from lorewright.operators.relational import orphans, repeated_keys
 
 #: What a timestamp and a speaker tag look like.
@@ -95,11 +96,48 @@ def unique_keys(rows: DataFrame, check: str) -> DataFrame:
 
 
 def content_checks(parsed: DataFrame) -> DataFrame:
-    """The seven checks of parsed documents (path, contenido, cuerpo, metadatos, fragmentos_meta)."""
-    out = no_timestamps(parsed)
-    for check in (no_speakers, complete_header, word_bounds, no_duplicates, allowed_languages):
-        out = out.unionByName(check(parsed))
-    return out
+    """The seven checks of parsed documents (path, contenido, cuerpo, metadatos, fragmentos_meta), as the functions above have them.
+
+    Six of them look at one document each, so one pass makes all their failures; only duplicates need an exchange.
+    """
+    none = F.array().cast("array<struct<check: string, detail: string>>")
+
+    def one(check: str, detail: Column) -> Column:
+        return F.struct(F.lit(check).alias("check"), detail.cast("string").alias("detail"))
+
+    def when(bad: Column, check: str, detail: Column) -> Column:
+        return F.when(bad, F.array(one(check, detail))).otherwise(none)
+
+    def lacking(m: Column, keys: tuple[str, ...]) -> Column:
+        return F.array_except(F.array(*map(F.lit, keys)), F.coalesce(F.map_keys(m), F.array().cast("array<string>")))
+
+    def bounds(n: Column) -> Column:
+        return F.concat(when(n < documents.LEAST_WORDS, "min_palabras", n), when(n > documents.MOST_WORDS, "max_palabras", n))
+
+    def header(missing: Column) -> Column:
+        return when(F.size(missing) > 0, "cabecera_completa", F.array_join(missing, ","))
+
+    def fields(f: Column, k: Column) -> Column:
+        return bound(lacking(f, documents.FRAGMENT_KEYS), lambda m: when(F.size(m) > 0, "cabecera_completa", F.concat(k.cast("string"), F.lit(":"), F.array_join(m, ","))))
+
+    def languages(f: Column, k: Column) -> Column:
+        def of(name: str) -> Column:
+            value = F.try_element_at(f, F.lit(name))
+            return when(~F.coalesce(value.isin(*documents.LANGUAGES), F.lit(False)), "idiomas_permitidos", F.concat_ws(":", k.cast("string"), F.lit(name), F.coalesce(value, F.lit("null"))))
+
+        return F.concat(of("idioma_original"), of("idioma_fragmento"))
+
+    each = F.flatten(F.transform("fragmentos_meta", lambda f, k: F.concat(fields(f, k), languages(f, k))))
+    found = F.concat(
+        when(F.col("contenido").rlike(TIMESTAMP), "sin_timestamps", F.regexp_extract("contenido", TIMESTAMP, 0)),
+        when(F.col("contenido").rlike(SPEAKER), "sin_speaker_tags", F.regexp_extract("contenido", SPEAKER, 0)),
+        bound(lacking(F.col("metadatos"), documents.DOCUMENT_KEYS), header),
+        when(F.size("fragmentos_meta") == 0, "cabecera_completa", F.lit("fragmentos")),
+        bound(documents.word_count(F.col("cuerpo")), bounds),
+        F.coalesce(each, none),
+    )
+    rows = parsed.select(F.col("path").cast("string").alias("key"), F.explode(found).alias("x")).select("x.check", "key", "x.detail")
+    return rows.unionByName(no_duplicates(parsed))
 
 
 def summary(found: DataFrame, checks: tuple[str, ...]) -> DataFrame:

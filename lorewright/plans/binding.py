@@ -71,6 +71,25 @@ def tidy_sql(x: str) -> str:
     return x
 
 
+_WORD = "[\\p{L}\\p{M}\\p{Nd}_]+"
+
+
+def repeats_sql(x: str) -> str:
+    """SQL of functions.text.without_repeated_words(), of a column name."""
+    words, gaps = f"regexp_extract_all({x}, '{_WORD}')", f"regexp_split_to_array({x}, '{_WORD}')"
+    part = f"CASE WHEN i > 1 AND lower(w) = lower({words}[i - 1]) AND regexp_matches({gaps}[i], '^\\s+$') THEN '' ELSE {gaps}[i] || w END"
+    return f"coalesce(array_to_string(list_transform({words}, lambda w, i: {part}), ''), '') || {gaps}[len({gaps})]"
+
+
+def cleaned_sql(source: str, keys: str) -> str:
+    """CTEs of functions.text.cleaned() for explanations: `source` has `keys` and texto; the result is `limpio` with `keys` and x."""
+    finish = "CASE WHEN x = '' OR regexp_matches(x, '[.!?]$') THEN y ELSE y || '.' END"
+    return f"""c1 AS (SELECT {keys}, {filler_sql('texto')} AS x FROM {source}), c2 AS (SELECT {keys}, {clause_sql('x')} AS x FROM c1),
+c3 AS (SELECT {keys}, {repeats_sql('x')} AS x FROM c2), c4 AS (SELECT {keys}, {tidy_sql('x')} AS x FROM c3),
+c5 AS (SELECT {keys}, x, CASE WHEN regexp_matches(x, '^\\p{{L}}') THEN upper(x[1]) || x[2:] ELSE x END AS y FROM c4),
+limpio AS (SELECT {keys}, {finish} AS x FROM c5)"""
+
+
 def words_sql(x: str) -> str:
     """SQL of functions.text.words()."""
     return f"list_transform(regexp_extract_all({x}, '\\p{{L}}+'), lambda w: lower(w))"

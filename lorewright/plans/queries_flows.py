@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorewright.functions import keys
-from lorewright.operators import cost, validate
+from lorewright.operators import cost, relational, validate
 from lorewright.plans.binding import fragments_sql, load, register, strip_sql
 from lorewright.plans.queries_relational import _MARKED, marked, rendered
 from lorewright.sources import files, listing
@@ -136,7 +136,42 @@ def synchronous_leg(spark, sf_dir):
 def pending_events(spark, sf_dir):
     """Events without a processed mark."""
     e = load(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("texto_raw"))
-    return e.join(e.where("id % 3 = 1").select("id"), "id", "left_anti")
+    done = e.where("id % 3 = 1").select(F.col("id").alias("_done"))
+    return relational.pending(e, done, F.col("id") == F.col("_done"))
+
+
+_NFD = "text || ' e' || chr(769) || 'l n' || chr(771) || 'u'"
+
+
+@query("message_nfc", f"SELECT conv_id * 1000 + turn AS id, {strip_sql(f'nfc_normalize({_NFD})')} AS texto FROM conversations")
+def message_nfc(spark, sf_dir):
+    """Clean texts of messages in which letters and their accents stand apart."""
+    rows = load(spark, sf_dir, "conversations")
+    body = F.concat(F.lit("/chiste "), "text", F.lit(" e\u0301l n\u0303u"))
+    message = F.struct(body.alias("text"), F.lit(0).alias("date"), F.struct(F.lit(1).alias("id")).alias("chat"))
+    raw = rows.select(F.to_json(F.struct((F.col("conv_id") * 1000 + F.col("turn")).alias("update_id"), message.alias("message"))).alias("value"))
+    none = spark.createDataFrame([], "telegram_update_id long")
+    return updates.synchronous_leg(raw, none, [1]).select(F.col("telegram_update_id").alias("id"), F.col("texto_limpio").alias("texto"))
+
+
+@query("sliding_window", """
+SELECT w AS inicio, event_type, count(*) AS n, round(sum(value), 4) AS total
+FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS w FROM events) GROUP BY 1, 2""")
+def sliding_window(spark, sf_dir):
+    """Counts and sums of hours that begin every half hour."""
+    w = updates.windowed(load(spark, sf_dir, "events"), "sliding", "1 hour", "30 minutes")
+    return w.select(F.col("w.start").alias("inicio"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("bronze_pairs", """
+WITH r AS (SELECT 'p/' || page_id AS path, CASE WHEN page_id % 2 = 0 THEN substr(url, 1, 22) END AS d, CASE WHEN page_id % 2 = 0 THEN 't' END AS m FROM pages),
+b AS (SELECT substr(url, 1, 22) AS d, CASE WHEN page_id % 5 = 0 THEN 'u' ELSE 't' END AS m FROM pages WHERE page_id % 3 <> 0)
+SELECT 'silver_tiene_bronze_historico' AS "check", path AS key, concat_ws('@', d, m) AS detail FROM r WHERE d IS NULL OR NOT EXISTS (SELECT 1 FROM b WHERE b.d = r.d AND b.m = r.m)""")
+def bronze_pairs(spark, sf_dir):
+    """Stored rows whose drive id and time no Bronze row has together."""
+    pages = load(spark, sf_dir, "pages").where("page_id % 3 <> 0")
+    bronze = pages.select(F.substring("url", 1, 22).alias("drive_file_id"), F.when(F.col("page_id") % 5 == 0, "u").otherwise("t").alias("modified_time"))
+    return validate.has_bronze_pair(stored_rows(spark, sf_dir), bronze)
 
 
 @query("allow_list", "SELECT event_id, user_id FROM events WHERE user_id IN (1, 2, 3, 5, 8, 13)")

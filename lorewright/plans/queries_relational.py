@@ -114,9 +114,9 @@ def new_rows(spark, sf_dir):
 def rendered(spark, sf_dir):
     """Every document rendered from its fragments, with markers put in."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.concat(F.lit(PREFIX), "text").alias("text"))
-    found = fragments.split_documents(docs).join(docs.select("doc_id", "lang"), "doc_id")
-    facts = docs.select("doc_id", F.concat(F.lit('a "quoted\\" '), "source").alias("fuente"), F.lit("teoria").alias("tipo_fuente"), F.lit(None).cast("string").alias("autor"), F.lit(None).cast("string").alias("licencia"))
-    return fragments.render_documents(fragments.localised(found, F.col("lang")), facts)
+    facts = {"fuente": F.concat(F.lit('a "quoted\\" '), "source"), "tipo_fuente": F.lit("teoria"), "autor": F.lit(None).cast("string"), "licencia": F.lit(None).cast("string")}
+    found = fragments.split_documents(docs, keep=["lang", "source"]).withColumns(facts)
+    return fragments.render_documents(fragments.localised(found, F.col("lang")))
 
 
 _RENDER = f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lorewright.functions import keys, text
 from lorewright.operators import fragments
 from lorewright.plans.binding import (
-    PREFIX, SUBTYPE_SQL, clause_sql, filler_sql, fragments_sql, load, quality_sql, register, strip_sql, tidy_sql, words_sql,
+    PREFIX, SUBTYPE_SQL, clause_sql, cleaned_sql, filler_sql, fragments_sql, load, quality_sql, register, repeats_sql, strip_sql, tidy_sql, words_sql,
 )
 
 QUERIES: dict = {}
@@ -76,6 +76,18 @@ def clean_fragment(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", text.cleaned(body, F.lit("explicacion")).alias("texto"))
 
 
+@query("word_dedup_whole", f"SELECT doc_id, {repeats_sql('text')} AS texto FROM documents")
+def word_dedup_whole(spark, sf_dir):
+    """Whole texts, punctuation and digits with them, without consecutive repeats of words."""
+    return load(spark, sf_dir, "documents").select("doc_id", text.without_repeated_words(F.col("text")).alias("texto"))
+
+
+@query("clean_whole", f"WITH t AS (SELECT doc_id, concat({PREFIX!r}, text) AS texto FROM documents), {cleaned_sql('t', 'doc_id')} SELECT doc_id, x AS texto FROM limpio")
+def clean_whole(spark, sf_dir):
+    """Whole texts, punctuation and digits with them, through all cleaning steps."""
+    return injected(spark, sf_dir).select("doc_id", text.cleaned(F.col("text"), F.lit("explicacion")).alias("texto"))
+
+
 @query("quality_score", f"WITH t AS (SELECT doc_id, {words_sql('text')} AS w FROM documents) SELECT doc_id, round({quality_sql('w')}, 6) AS quality, len(w)::INTEGER AS words FROM t")
 def quality_score(spark, sf_dir):
     """Every document's quality."""
@@ -85,11 +97,11 @@ def quality_score(spark, sf_dir):
 
 @query("quality_parts", f"""
 WITH t AS (SELECT doc_id, {words_sql('text')} AS w FROM documents)
-SELECT doc_id, round(len(w) / (len(w) + 25.0), 6) AS length_score, round(len(list_distinct(w)) / len(w)::DOUBLE, 6) AS diversity FROM t WHERE len(w) > 0""")
+SELECT doc_id, round(len(w) / (len(w) + 25.0), 6) AS length_score, CASE WHEN len(w) = 0 THEN 0.0 ELSE round(len(list_distinct(w)) / len(w)::DOUBLE, 6) END AS diversity FROM t""")
 def quality_parts(spark, sf_dir):
-    """Length score and diversity of the documents that have words."""
+    """Length score and diversity of every document."""
     w = text.words(F.col("text"))
-    frame = load(spark, sf_dir, "documents").select("doc_id", w.alias("w")).where(F.size("w") > 0)
+    frame = load(spark, sf_dir, "documents").select("doc_id", w.alias("w"))
     return frame.select("doc_id", F.round(text.length_score(F.size("w")), 6).alias("length_score"), F.round(text.diversity(F.col("w")), 6).alias("diversity"))
 
 
@@ -108,7 +120,7 @@ SELECT doc_id, pos, lang AS idioma_original, subtipo <> 'ejemplo' AND lang <> 'e
 def translation_decision(spark, sf_dir):
     """Every fragment's languages and whether it is translated."""
     docs = injected(spark, sf_dir)
-    found = fragments.split_documents(docs).join(docs.select("doc_id", "lang"), "doc_id")
+    found = fragments.split_documents(docs, keep=["lang"])
     return fragments.localised(found, F.col("lang")).select("doc_id", "pos", "idioma_original", "traducido", "idioma_fragmento")
 
 

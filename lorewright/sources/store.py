@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lorewright.functions import keys
@@ -37,16 +37,19 @@ class Store:
         return self.spark.read.schema(columns).parquet(path) if self.exists(path) else self.spark.createDataFrame([], columns)
 
     def append_new(self, rows: DataFrame, schema: str, table: str, key: Column, order: list[Column]) -> dict[str, int]:
-        """Appends the rows whose key isn't stored, the first of each key in `order`; counts of new and existing ones. A rerun writes nothing."""
+        """Appends the rows whose key isn't stored, the first of each key in `order`; counts of new and existing ones. A rerun writes nothing.
+
+        Of the stored table only the key's columns are read, once; what is written is counted on the way.
+        """
         columns = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
-        stored = self.read(schema, table, columns).select(key.alias("_k")).distinct()
+        stored = self.read(schema, table, columns).select(key.alias("_k"))
         keyed = rows.withColumn("_k", key)
         first = latest(keyed, ["_k"], order)
         fresh = first.join(stored, first["_k"].eqNullSafe(stored["_k"]), "left_anti").drop("_k")
-        total, before = rows.count(), self.read(schema, table, columns).count()
-        fresh.write.mode("append").parquet(self.path(schema, table))
-        new = self.read(schema, table, columns).count() - before
-        return {"nuevos": new, "existentes": total - new}
+        written = Observation()
+        fresh.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(self.path(schema, table))
+        new = written.get["n"]
+        return {"nuevos": new, "existentes": rows.count() - new}
 
     def capture(self, files: DataFrame, layer: str, flow: str) -> dict[str, int]:
         """Stores files (name, content, drive_file_id, modified_time): the objects first, then the rows that name them.

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lorewright.functions.text import message_body
+from lorewright.functions.unicode import nfc
 
 #: Outcomes of an update.
 NOT_A_MESSAGE, NOT_ALLOWED, DUPLICATE, ACCEPTED = "ignorado", "no_autorizado", "duplicado", "aceptado"
@@ -38,7 +39,7 @@ def outcome(allowed: list[int], seen: Column) -> Column:
 
 
 def synchronous_leg(updates: DataFrame, bronze: DataFrame, allowed: list[int]) -> DataFrame:
-    """Every update's outcome, and the cleaned text of the accepted ones. Of repeats in one batch the first (by time) is accepted."""
+    """Every update's outcome, and the cleaned text of the accepted ones, in canonical composition (NFC). Of repeats in one batch the first (by time) is accepted."""
     rows = extracted(updates)
     stored = bronze.select(F.col("telegram_update_id").alias("_id"), F.lit(True).alias("_seen")).distinct()
     rows = rows.join(stored, F.col("telegram_update_id") == F.col("_id"), "left")
@@ -46,14 +47,14 @@ def synchronous_leg(updates: DataFrame, bronze: DataFrame, allowed: list[int]) -
     key = F.when(ok, F.concat(F.lit("u"), F.col("telegram_update_id").cast("string"))).otherwise(F.concat(F.lit("x"), F.xxhash64("value").cast("string")))
     rows = rows.withColumn("_key", key).withColumn("_again", ok & (F.row_number().over(Window.partitionBy("_key").orderBy("timestamp_telegram", "value")) > 1))
     rows = rows.withColumn("estado", outcome(allowed, F.col("_seen").isNotNull() | F.col("_again")))
-    return rows.withColumn("texto_limpio", F.when(F.col("estado") == ACCEPTED, message_body(F.col("texto_raw")))).drop("_id", "_seen", "_key", "_again")
+    return rows.withColumn("texto_limpio", F.when(F.col("estado") == ACCEPTED, message_body(nfc(F.col("texto_raw"))))).drop("_id", "_seen", "_key", "_again")
 
 
 def stream_messages(raw: DataFrame, allowed: list[int], delay: str = "1 day") -> DataFrame:
     """A stream of accepted messages: extracted, filtered before any state is kept, each update once within the watermark."""
     rows = extracted(raw).where(F.col("texto_raw").isNotNull() & F.col("chat_id").isin(*allowed))
     unique = rows.withWatermark("timestamp_telegram", delay).dropDuplicatesWithinWatermark(["telegram_update_id"])
-    return unique.select("telegram_update_id", "chat_id", "texto_raw", "timestamp_telegram", message_body(F.col("texto_raw")).alias("texto_limpio"))
+    return unique.select("telegram_update_id", "chat_id", "texto_raw", "timestamp_telegram", message_body(nfc(F.col("texto_raw"))).alias("texto_limpio"))
 
 
 def write_bronze(stream: DataFrame, store, checkpoint: str, table: str = "chistes_telegram"):
