@@ -52,10 +52,10 @@ def new_files(listing: DataFrame, state: DataFrame) -> DataFrame:
 
 
 class Page(InputPartition):
-    """One page of the listing."""
+    """One page of the listing: its files, so that no executor opens the listing again."""
 
-    def __init__(self, number: int):
-        self.number = number
+    def __init__(self, files: list[dict]):
+        self.files = files
 
 
 class FolderReader(DataSourceReader):
@@ -82,13 +82,14 @@ class FolderReader(DataSourceReader):
         return sorted((x for x in files if x["mimeType"] in self.types and not x.get("trashed")), key=lambda x: (x["name"], x["id"]))
 
     def partitions(self):
-        """One per page."""
-        return [Page(k) for k in range(-(-len(self.rows()) // self.size))]
+        """One per page; the listing is read and sorted once, on the driver."""
+        rows = self.rows()
+        return [Page(rows[k : k + self.size]) for k in range(0, len(rows), self.size)]
 
     def read(self, partition) -> Iterator[tuple]:
         """Rows of a page."""
         outputs = checked({t: THEORY_TYPES.get(t) for t in self.types})
-        for x in self.rows()[partition.number * self.size : (partition.number + 1) * self.size]:
+        for x in partition.files:
             out = outputs[x["mimeType"]]
             end = EXTENSIONS[out]
             yield (x["id"], x["name"], x["modifiedTime"], x["mimeType"], out, x["name"] if x["name"].lower().endswith(end) else x["name"] + end)
