@@ -78,6 +78,24 @@ def written(store: Store, rows: DataFrame, ask, propose, kind: str, against: tup
     return decided, answered.where("error is not null").select("key", "error")
 
 
+def sync_and_mark(store: Store, root: str) -> dict:
+    """Coloured DOCX files under `root`: captured in Bronze, marked, guarded, and stored in Silver with the numbers of their marks. A file that fails goes no further and stops no other."""
+    found = files.scan(store.spark, root, recursive=True).where("ext = '.docx'")
+    null = F.lit(None).cast("string")
+    bronze = store.capture(found.select("name", "content", null.alias("drive_file_id"), null.alias("modified_time")), "bronze", "historico")
+    parsed = kept(store, files.parse(found.withColumn("tipo_fuente", F.lit("historico")), {".docx": files.docx_runs}), "leidos")
+    paragraphs = parsed.where("error is null").select(F.col("path").alias("doc_id"), F.posexplode(F.from_json("text", "array<array<array<string>>>")).alias("para", "runs"))
+    coloured = kept(store, paragraphs.select("doc_id", "para", F.posexplode_outer("runs").alias("run", "x")).select("doc_id", "para", F.coalesce("run", F.lit(0)).alias("run"), F.get("x", 0).alias("color"), F.get("x", 1).alias("texto")), "tiradas")
+    marked = kept(store, marking.marked_text(coloured), "marcado")
+    bad = marking.round_trip(coloured, marked).where("not ok").select(F.col("doc_id").alias("path")).distinct()
+    good = marked.withColumnRenamed("doc_id", "path").join(bad, "path", "left_anti").join(parsed.select("path", F.col("md5").alias("origen_hash_md5")), "path")
+    tags = {name: F.regexp_count("markdown", F.lit(rf"\[{tag}\]")).cast("long") for name, tag in (("remates", "REMATE"), ("chistoides", "CHISTOIDE"))}
+    rows = good.withColumns(tags).select("path", "origen_hash_md5", F.md5("markdown").alias("hash_md5"), "remates", "chistoides", F.col("markdown").alias("contenido"))
+    silver = store.append_new(rows, "silver", "historico_marcados", F.struct("path", "origen_hash_md5"), [F.col("hash_md5")])
+    failed = parsed.where("error is not null").select("path", "error").unionByName(bad.withColumn("error", F.lit("the marks lost text")))
+    return {"bronze": bronze, "silver": silver, "failed": failed, "exit": SOME_FAILED if failed.take(1) else OK}
+
+
 def pending_documents(store: Store, runs: DataFrame) -> DataFrame:
     """Runs of the documents that were never finished in this state: a document is known by its id and the hash of its coloured runs."""
     state = runs.groupBy("doc_id").agg(F.md5(F.to_json(F.sort_array(F.collect_list(F.struct("para", "run", "color", "texto"))))).alias("md5"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import posixpath
 import re
 import zipfile
@@ -36,6 +37,13 @@ def changed(files: DataFrame, state: DataFrame, key: str = "path") -> DataFrame:
     return files.join(state.select(key, "md5"), [key, "md5"], "left_anti")
 
 
+def marked_documents(spark: SparkSession, root: str, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(name, content of the marked Markdown files directly in `root` that are new or changed since `state`, the state to keep once they are dealt with)."""
+    found = scan(spark, root).where("ext = '.md'")
+    fresh = found if state is None else changed(found, state)
+    return fresh.select("name", F.decode("content", "UTF-8").alias("content")).orderBy("name"), found.select("path", "md5")
+
+
 def eligible(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(files with a parser plus tipo_fuente, the others)."""
     kind = F.lit(None).cast("string")
@@ -106,6 +114,11 @@ def docx_paragraphs(content: bytes) -> list[list[tuple[str | None, str]]]:
     return out
 
 
+def docx_runs(content: bytes) -> str:
+    """Paragraphs of a DOCX as JSON: for each its runs, of each its colour and text."""
+    return json.dumps(docx_paragraphs(content))
+
+
 def docx_text(content: bytes) -> str:
     """Text of a DOCX, paragraphs parted by blank lines."""
     return "\n\n".join(x for x in ("".join(t for _, t in runs).strip() for runs in docx_paragraphs(content)) if x)

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from lorewright.functions import contracts
 from lorewright.plans import flows, runs
-from lorewright.sources import catalog
+from lorewright.sources import catalog, files
 from lorewright.sources.store import Store
+from lorewright.streaming import updates
 
+from .test_operators import docx
 from .test_text import TRANSCRIPT
 
 RUNS = "doc_id long, para int, run int, color string, texto string"
@@ -119,6 +121,43 @@ def test_backfill_and_validation(spark, tmp_path):
     assert not found["fila_objeto_coherente"] and not found["bronze_tiene_objeto"]
 
 
+def test_sync_and_mark(spark, tmp_path):
+    store, folder = Store(spark, f"file://{tmp_path}/store"), tmp_path / "in" / "x"
+    folder.mkdir(parents=True)
+    run = lambda text, colour="": f"<w:r>{f'<w:rPr><w:color w:val=\"{colour}\"/></w:rPr>' if colour else ''}<w:t>{text}</w:t></w:r>"
+    docx(folder / "uno.docx", f"<w:p>{run('Entra un tren. ')}{run('Sin vías.', 'FF0000')}</w:p><w:p></w:p><w:p>{run('Aparte.', '980000')}</w:p>")
+    (folder / "roto.docx").write_bytes(b"broken")
+    out = runs.sync_and_mark(store, str(tmp_path / "in"))
+    assert out["bronze"]["nuevos"] == 2 and out["silver"] == {"nuevos": 1, "existentes": 0} and out["exit"] == runs.SOME_FAILED
+    assert [r.path.rsplit("/", 1)[-1] for r in out["failed"].collect()] == ["roto.docx"]
+    row = spark.read.parquet(store.path("silver", "historico_marcados")).first()
+    assert row.contenido == "Entra un tren. [REMATE]Sin vías[/REMATE].\n\n[CHISTOIDE]Aparte[/CHISTOIDE].\n" and (row.remates, row.chistoides) == (1, 1)
+    assert runs.sync_and_mark(store, str(tmp_path / "in"))["silver"] == {"nuevos": 0, "existentes": 1}
+
+
+def test_marked_documents_are_read_once(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for name, body in (("b.md", "dos"), ("a.md", "uno"), ("c.txt", "no"), ("sub/d.md", "no")):
+        (tmp_path / name).write_text(body)
+    rows, state = files.marked_documents(spark, str(tmp_path))
+    assert [(r.name, r.content) for r in rows.collect()] == [("a.md", "uno"), ("b.md", "dos")]
+    state = spark.createDataFrame(state.collect(), state.schema)
+    (tmp_path / "b.md").write_text("tres")
+    assert [r.content for r in files.marked_documents(spark, str(tmp_path), state)[0].collect()] == ["tres"]
+    assert files.marked_documents(spark, str(tmp_path / "none"))[0].count() == 0
+
+
+def test_replay_that_fails_whole(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+
+    def broken(_):
+        raise OSError("the model is away")
+
+    rows = spark.createDataFrame([(1, "x")], "id long, texto string")
+    assert updates.replay(store, rows, broken) == {"procesados": 0, "fallidos": 0, "exit": 2}
+    assert store.unprocessed(rows, "bronze", "chistes_telegram").count() == 1
+
+
 def test_names_and_candidates(spark, tmp_path):
     store = stored(spark, tmp_path)
     names = spark.createDataFrame([("Perros",), ("Ascensores",)], "nombre string")
