@@ -81,12 +81,12 @@ def fitted(cells: DataFrame, margins: Mapping[str, Mapping[str, float]], keep_un
     found = {name: {r[0]: r[1] for r in wants[name].limit(COMBINATIONS + 1).collect()} for name in short}
     if math.prod(max(1, len(found[name])) for name in short) > COMBINATIONS:
         raise ValueError(f"more than {COMBINATIONS} combinations of {short}")
-    values = {name: list(found[name]) for name in short}
-    places = {name: {v: k for k, v in enumerate(values[name])} for name in short}
+    values = {name: sorted(found[name], key=lambda v: (v is None, v)) for name in short}
     code = F.lit(0).cast("long")
     for name in short:
-        table = spark.createDataFrame([(v, k) for k, v in enumerate(values[name])], f"{name} string, _p long")
-        cells = cells.join(F.broadcast(table.withColumnRenamed(name, "_v")), F.col(name).eqNullSafe(F.col("_v")), "left").withColumn(f"_{name}", F.coalesce("_p", F.lit(0).cast("long"))).drop("_v", "_p")
+        known = [v for v in values[name] if v is not None]
+        place = F.greatest(F.array_position(F.lit(known), F.col(name)) - 1, F.lit(0)) if known else F.lit(0)
+        cells = cells.withColumn(f"_{name}", F.when(F.col(name).isNull(), F.lit(len(known))).otherwise(place).cast("long"))
         code = code * len(values[name]) + F.col(f"_{name}")
     packed = cells.where("tokens > 0").withColumn("_code", code.cast("int")).groupBy(long, "_code").agg(F.sum("tokens").cast("double").alias("n"))
     packed = packed.groupBy(long).agg(F.collect_list(F.struct("_code", "n")).alias("cells"))
