@@ -44,23 +44,27 @@ def scratch_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Settings of what goes to a Python worker at once, and the bytes of it at most where a table is written.
+BATCH, BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "4m"
 
 
 def materialised(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """`df` written once to the shared folder and read back: lineage is cut and a lost executor costs no recomputation.
 
-    batch: rows that go to a Python worker at once while it is written, where rows are large; the session's own setting is put back.
+    batch: rows that go to a Python worker at once while it is written, BATCH_BYTES of them at most; the session's own settings are put back.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(BATCH)
+    before = {name: spark.conf.get(name) for name in (BATCH, BYTES)}
     try:
+        spark.conf.set(BYTES, BATCH_BYTES)
         if batch:
             spark.conf.set(BATCH, str(batch))
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(BATCH, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -489,7 +489,7 @@ def classes_of_near_duplicates(docs: DataFrame, words: int = 5, id_col: str = "d
         return pairs.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b")
 
     entries = sorted_lists(postings(docs.where("doc_id is not null"), words, classes, small, spark.sparkContext.broadcast(crowds), list_size))
-    shared = materialised(entries.mapInPandas(first_round, ASKED), "shared-postings", 50_000)
+    shared = materialised(entries.mapInPandas(first_round, ASKED), "shared-postings")
     collected(spark)
     heads = shared.where("part >= 0 and pos >= 0").groupBy("h", "pivot").agg(F.lit(1).alias("one")).groupBy("h").agg(F.min("pivot").alias("head"))
     heads = shared.where("part >= 0 and pos >= 0").select("h", "pivot").distinct().join(heads, "h").where("head <> pivot").select(F.col("head").alias("a"), F.col("pivot").alias("b"))
@@ -504,7 +504,7 @@ def classes_of_near_duplicates(docs: DataFrame, words: int = 5, id_col: str = "d
     mark = materialised(mark.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("comp"), "mark"), "marks")
     rows = shared.where("part > -2 and pos >= 0").join(mark, F.col("doc_id") == F.col("rep")).select(*OPEN[:-1])
     rows = sorted_lists(rows, "n", "rep").mapInPandas(second_round, "h long, part long, n long, rep long, pos long, comp long, mark binary")
-    rows = materialised(rows, "open-lists", 20_000)
+    rows = materialised(rows, "open-lists")
     dropped(shared)
     short, long = rows.where("part = -2").select(F.col("rep").alias("a"), F.col("comp").alias("b")), rows.where("part > -2")
     collected(spark)
