@@ -18,7 +18,7 @@ ORDER, LEAST, ENTRIES = 4, 4, 6_000_000
 SAMPLE_DOCS, SAMPLE_BYTES = 400, 800_000
 #: Bytes whose evidence the score states at most: longer texts are scored by their mean.
 EVIDENCE = 64
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Code lengths are whole numbers of 1 / UNIT bits, so sums over a text are exact in any order.
 UNIT = 1 << 16
 UNDETERMINED = "und"
