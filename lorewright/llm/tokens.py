@@ -68,13 +68,11 @@ class Tokens:
         """Remembers the ids of words after a blank: they are encoded as one text and parted by the tokens' bytes."""
         text = " " + " ".join(words)
         ids = self.encoder.encode_to_numpy(text, disallowed_special=()).astype("<u4")
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        blanks = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 32)
+        ends = np.append(blanks[1:], len(text.encode()))
         cuts = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
         raw = ids.tobytes()
-        begin = 0
-        for w, end in zip(words, cuts, strict=True):
-            self.cache[w] = raw[begin:end]
-            begin = end
+        self.cache.update(zip(words, [raw[a:z] for a, z in zip([0, *cuts], cuts, strict=False)], strict=True))
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
@@ -82,19 +80,20 @@ class Tokens:
         while begin < len(texts):
             end, held, split = begin, 0, []
             while end < len(texts) and held < CHUNK:
-                split.append(texts[end].split(" "))
+                # a text with an added token is encoded as a whole
+                split.append([texts[end]] if self.marked(texts[end]) else texts[end].split(" "))
                 held += len(texts[end])
                 end += 1
             if len(self.cache) > CACHED_WORDS:
                 self.cache.clear()
             new = set().union(*(s[1:] for s in split)).difference(self.cache)
-            new = [w for w in new if w and len(w) <= CACHED_LENGTH and not w[-1].isspace() and not self.marked(w)]
+            new = [w for w in new if w and len(w) <= CACHED_LENGTH and not w[-1].isspace()]
             if new:
                 self.learn(new)
             known = self.cache.__getitem__
             for text, words in zip(texts[begin:end], split, strict=True):
                 first = words[0]
-                if len(words) > 1 and (not first or first[-1].isspace()) or self.marked(text):
+                if len(words) > 1 and (not first or first[-1].isspace()):
                     yield self.whole(text)
                     continue
                 try:
