@@ -47,7 +47,7 @@ DENSE = 4
 #: Cost of a posting in an inverted list (with its part in checking candidates) against one subset.
 LIST_COST = 4
 #: Entries that a task holds before it hands them on.
-ENTRIES = 200_000
+ENTRIES = 100_000
 #: Bits of a document's mark: which of so many counters of its shingles are odd.
 MARK = 512
 #: Rounds of checking lists against a pivot before pairs are made of what is left; a round that links a smaller share of its pairs is the last.

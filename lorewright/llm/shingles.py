@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _RANDOM = np.random.default_rng(20240229)
 #: A random 64-bit value for each byte, A-Z as a-z.
 _BYTES = _RANDOM.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
