@@ -15,14 +15,16 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shipped, with_whole_ids
+from .common import dropped, materialised, shipped, with_whole_ids
 
 #: A token is a run without white space, quotes, brackets, commas, semicolons and bars; what punctuation may stand at its ends; least length.
-TOKEN = re.compile(r"[^\s\"'`<>(){}\[\],;|]+")
+TOKEN, LONG = (re.compile(r"[^\s\"'`<>(){}\[\],;|]" + n) for n in ("+", "{8,}"))
 ENDS, LEAST = ".:!?*#$%&~", 8
 #: A plain word of fewer characters is no candidate, unless a marker and an assignment stand before it.
 PLAIN = 24
-MARKED = re.compile(r"(?i)(?:key|token|secret|passw\w*|pwd|pass|auth\w*|bearer|credential\w*)[\"']?\s*(?:[=:]|\bis\b)\s*[\"']?$")
+_MARK = r"(?i)(?:key|token|secret|passw\w*|pwd|pass|auth\w*|bearer|credential\w*)[\"']?\s*(?:[=:]|\bis\b)\s*[\"']?"
+MARK, MARKED = re.compile(_MARK), re.compile(_MARK + "$")
+MARKERS = ("key", "token", "secret", "pass", "pwd", "auth", "bearer", "credential")
 #: Least length of a token after a marker.
 MARKED_LEAST = 4
 #: Characters of context on either side.
@@ -36,6 +38,8 @@ FEATURES = [
 ]
 #: Words of the dictionary and how often each must occur; distinct words a task counts before it hands them on.
 WORDS, OFTEN, COUNTED = 50_000, 3, 200_000
+#: Frequencies told apart when the dictionary is cut.
+TOP = 1_000_000
 #: Longest word looked up in a candidate, and characters of a candidate whose letters are looked up (longer ones by parts of that size).
 LONGEST = 16
 #: Trees, their depth, findings trained on at most, and the chance from which a finding is a secret.
@@ -49,37 +53,66 @@ def found_in(text: str) -> Iterator[tuple[int, str]]:
     A plain word has letters alone, of one case or with a capital at its head, and fewer than PLAIN of them. An assignment inside a token parts
     its name from its value.
     """
-    for m in TOKEN.finditer(text):
-        value, at = m[0], m.start()
-        cut = re.match(r"[A-Za-z_][A-Za-z0-9_.-]*[=:](?=[^=:/])", value)
+    spots = {m.start(): m[0] for m in LONG.finditer(text) if not _plain(m[0])}
+    low = text.lower()
+    if any(x in low for x in MARKERS):
+        for m in MARK.finditer(text):
+            after = TOKEN.match(text, m.end())
+            if after and (not m.end() or not TOKEN.match(text[m.end() - 1])):
+                spots[after.start()] = after[0]
+    for at in sorted(spots):
+        value = spots[at]
+        cut = _NAMED.match(value)
         if cut:
             value, at = value[cut.end() :], at + cut.end()
         inner = value.lstrip(ENDS)
         at, value = at + len(value) - len(inner), inner.rstrip(ENDS)
-        plain = value.isalpha() and len(value) < PLAIN and (value.islower() or value.istitle() or value.isupper())
-        if len(value) >= LEAST and not plain or len(value) >= MARKED_LEAST and MARKED.search(text[max(0, at - BEFORE) : at]):
+        if len(value) >= LEAST and not _plain(value) or len(value) >= MARKED_LEAST and MARKED.search(text[max(0, at - BEFORE) : at]):
             yield at, value
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """found_in() every whole text: doc_id, begin (in characters), value, before, after. Null and empty texts have none; rows that repeat have theirs repeated."""
-    shipped(docs.sparkSession)
+_NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*[=:](?=[^=:/])")
+
+
+def _plain(value: str) -> bool:
+    """Whether it is one plain word."""
+    return value.isalpha() and len(value) < PLAIN and (value.islower() or value.istitle() or value.isupper())
+
+
+FOUND = "doc_id long, nil boolean, begin long, value string, before string, after string"
+
+
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: list[str] | None = None) -> DataFrame:
+    """found_in() every whole text: doc_id, begin (in characters), value, before, after, and with a dictionary _features, the FEATURES in order.
+
+    Null and empty texts have none; rows that repeat have theirs repeated. The features come from the same pass.
+    """
+    spark = docs.sparkSession
+    shipped(spark)
+    shared = spark.sparkContext.broadcast(None if words is None else set(words))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
         for batch in batches:
             rows = []
             for doc_id, nil, text in zip(batch["doc_id"].tolist(), batch["nil"].tolist(), batch["text"].tolist(), strict=True):
                 for a, value in found_in(text or ""):
                     z = a + len(value)
                     rows.append((doc_id, nil, a, value, text[max(0, a - BEFORE) : a], text[z : z + AFTER]))
-            yield pd.DataFrame(rows, columns=["doc_id", "nil", "begin", "value", "before", "after"]).astype({"doc_id": "int64", "begin": "int64", "nil": "bool"})
+            out = pd.DataFrame(rows, columns=["doc_id", "nil", "begin", "value", "before", "after"]).astype({"doc_id": "int64", "begin": "int64", "nil": "bool"})
+            if known is not None:
+                out["_features"] = pd.Series([features_of(v, b, a, known) for v, b, a in zip(out["value"], out["before"], out["after"], strict=True)], dtype=object)
+            yield out
 
-    found = with_whole_ids(docs, id_col, text_col).mapInPandas(find, "doc_id long, nil boolean, begin long, value string, before string, after string")
+    found = with_whole_ids(docs, id_col, text_col).mapInPandas(find, FOUND + (", _features array<double>" if words is not None else ""))
     return found.withColumn("doc_id", F.when(~F.col("nil"), F.col("doc_id"))).drop("nil")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """The WORDS most frequent words of all whole texts, lower-cased, that occur OFTEN or more."""
+    """The most frequent words of all whole texts, lower-cased: WORDS of them at most, which occur OFTEN or more. Of words as frequent as the first one too many, none is taken.
+
+    The cut comes from the numbers of words by frequency, so no more than the dictionary ever reaches the driver.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: Counter = Counter()
@@ -93,7 +126,17 @@ def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
             yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
     rows = docs.select(F.col(text_col).alias("text")).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return sorted(r[0] for r in rows.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "word").limit(WORDS).collect())
+    rows = materialised(rows.where(F.col("n") >= OFTEN), "words")
+    # frequencies from TOP on are one row
+    held, cut = 0, OFTEN
+    for n, words in sorted(map(tuple, rows.groupBy(F.least("n", F.lit(TOP)).alias("n")).count().collect()), reverse=True):
+        held += words
+        if held > WORDS:
+            cut = n + 1
+            break
+    out = sorted(r[0] for r in rows.where(F.col("n") >= cut).select("word").collect())
+    dropped(rows)
+    return out
 
 
 def covered(value: str, words: set[str]) -> tuple[int, int, int]:
@@ -146,18 +189,6 @@ def features_of(value: str, before: str, after: str, words: set[str]) -> list[fl
     ]
 
 
-def with_features(found: DataFrame, words: list[str]) -> DataFrame:
-    """`found` (value, before, after; nulls are empty) plus _features, the FEATURES in order."""
-    shared = found.sparkSession.sparkContext.broadcast(set(words))
-
-    def make(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        known = shared.value
-        for values, before, after in batches:
-            yield pd.Series([features_of(v or "", b or "", a or "", known) for v, b, a in zip(values.tolist(), before.tolist(), after.tolist(), strict=True)])
-
-    return found.withColumn("_features", F.pandas_udf(make, "array<double>")("value", "before", "after"))
-
-
 def labelled_findings(words: list[str], n: int = 6000, seed: int = 5) -> list[tuple[str, str, str, int]]:
     """Labelled findings (value, before, after, label) made from a seed where no labelled ones are given, in words of the corpus.
 
@@ -243,8 +274,9 @@ def trained(spark: SparkSession, words: list[str], findings: DataFrame | None =
     shipped(spark)
     if findings is None:
         findings = spark.createDataFrame(labelled_findings(words, seed=seed), "value string, before string, after string, label int")
-    known = with_features(findings.where("label in (0, 1)").orderBy(F.xxhash64("value", "before", "after")).limit(FINDINGS).repartition(8), words)
-    known = known.select(F.col("label").cast("double").alias("label"), array_to_vector("_features").alias("features"))
+    known, rows = set(words), findings.where("label in (0, 1)").orderBy(F.xxhash64("value", "before", "after")).limit(FINDINGS).collect()
+    rows = [(float(r["label"]), features_of(r["value"] or "", r["before"] or "", r["after"] or "", known)) for r in rows]
+    known = spark.createDataFrame(rows, "label double, _features array<double>").select("label", array_to_vector("_features").alias("features"))
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, subsamplingRate=0.7).fit(known.coalesce(1))
 
 
@@ -254,6 +286,6 @@ def scanned(docs: DataFrame, model: RandomForestClassificationModel, words: list
     A document without candidates has no row; one that repeats has its findings repeated; an empty table gives no rows. Other columns are
     never read. The forest and the dictionary are of fixed size and no shuffle is needed.
     """
-    found = with_features(candidates(docs, id_col, text_col), words).withColumn("features", array_to_vector("_features"))
+    found = candidates(docs, id_col, text_col, words).withColumn("features", array_to_vector("_features"))
     scored = model.transform(found).withColumn("chance", vector_to_array("probability")[1])
     return scored.select("doc_id", "begin", "value", "before", "after", "chance", (F.col("chance") >= THRESHOLD).alias("is_secret"))
