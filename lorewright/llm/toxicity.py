@@ -241,6 +241,27 @@ def marks_of(words: list[str]) -> list[int]:
     return [int(((x * np.uint64(m) + np.uint64(s)) & np.uint64(0xFFFFFFFF)).min()) for m, s in ((2654435761, 1), (2246822519, 7), (3266489917, 13))[:COPIES]]
 
 
+def counted_words(texts: list[str], y: np.ndarray, classes: np.ndarray) -> tuple[dict[str, int], dict[str, int]]:
+    """For the words of toxic and of clean texts, the texts that hold them; copies of a text, as their min-hashes have it, count once."""
+    index: dict[str, int] = {}
+    held: tuple[list, list] = ([], [])
+    for t, k in zip(texts, y.tolist(), strict=True):
+        r = units(t, classes)
+        own = np.array([index.setdefault(w, len(index)) for w in set(r) if len(w) >= LENGTH], np.int64)
+        held[k].append((own, marks_of(r)))
+
+    def count(rows: list) -> dict[str, int]:
+        ids, sizes = np.concatenate([own for own, _ in rows]), [len(own) for own, _ in rows]
+        least = None
+        for j in range(COPIES):
+            keys = np.unique(ids << 32 | np.repeat(np.array([m[j] for _, m in rows], np.int64), sizes))
+            n = np.bincount(keys >> 32, minlength=len(index))
+            least = n if least is None else np.minimum(least, n)
+        return {w: int(least[k]) for w, k in index.items() if least[k]}
+
+    return count(held[1]), count(held[0])
+
+
 def trained(texts: list[str], labels: list[int]) -> Model | None:
     """The model of labelled texts; None if a class is missing.
 
@@ -254,15 +275,7 @@ def trained(texts: list[str], labels: list[int]) -> Model | None:
     if not len(y) or y.min() == y.max():
         return None
     classes = letters(texts)
-    near: tuple[dict[str, list[set]], dict[str, list[set]]] = ({}, {})
-    for t, k in zip(texts, y.tolist(), strict=True):
-        r = units(t, classes)
-        own = marks_of(r)
-        for w in set(r):
-            if len(w) >= LENGTH:
-                for s, m in zip(near[k].setdefault(w, [set() for _ in own]), own, strict=True):
-                    s.add(m)
-    neg, pos = ({w: min(map(len, c)) for w, c in x.items()} for x in near)
+    pos, neg = counted_words(texts, y, classes)
     if not pos or not neg:
         return None
     strong = marking(pos, neg)
