@@ -33,6 +33,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, i
     pieces of exactly `size`, so only the first may be shorter. A row whose id repeats gives pieces of its own.
     """
     shipped(docs.sparkSession)
+    collected(docs.sparkSession)  # workers let go of what earlier steps broadcast
     tail = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -14,7 +14,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CACHED_WORDS = 250_000
 CACHED_LENGTH = 40
 #: Characters of the texts that are looked at together.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _LOADED: dict[str, "Tokens"] = {}
 
 
