@@ -15,6 +15,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told: null texts and texts without letters."""
+    # whole texts go to Python workers in all stages: the rest of the session sends them in batches that are bounded by bytes
+    spark.conf.set(common.BYTES, common.BATCH_BYTES)
     texts = language.training_texts(docs, fold(5) != 0)
     return language.identified(docs, texts).where(F.col("lang_pred") != language.UNDETERMINED).select(*COLUMNS)
 
