@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import common, exact_dedup, jaccard, language, lines, mixing, packing, search, secrets, sharding, toxicity
+from . import bpe, common, exact_dedup, jaccard, language, lines, mixing, negatives, packing, phrases, search, secrets, sharding, toxicity
 
 UPPER, LOWER = common.UPPER, common.UPPER.lower()
 
@@ -93,6 +93,25 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_classes(common.table(spark, sf_dir, "documents"), keep="max")
 
 
+def op11_pivot_phrases(spark, sf_dir):
+    """Each language's first 2000 collocations."""
+    return phrases.collocations(common.table(spark, sf_dir, "documents"))
+
+
+def op12_backtracking_bpe(spark, sf_dir):
+    """Every document's number of tokens, and digests of its ids and of the bytes that they decode to."""
+    import public_tokenizers
+
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
+
+
+def op13_norm_bucketed_negatives(spark, sf_dir):
+    """Hard negatives of each of every hundredth vector and its positives; every seventh vector has another label than the table's."""
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return negatives.hard_negatives(common.table(spark, sf_dir, "embeddings").withColumn("label", other), F.col("id") % 100 == 0)
+
+
 OP10_SQL = f"""
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS body FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(body) AS text_sha256
@@ -100,6 +119,44 @@ FROM t WINDOW g AS (PARTITION BY body)
 """
 
 
+OP11_SQL = rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS body FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest([array_to_string(w[i : i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase FROM w, (VALUES (1), (2), (3)) AS sizes(k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+cuts AS (SELECT c.*, unnest(range(1, k)) AS cut FROM c),
+parts AS (SELECT *, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1 :], ' ') AS tail FROM cuts),
+scored AS (
+  SELECT p.lang, p.phrase, p.a, p.cut, x.a AS l, y.a AS r, (1000000 * p.a::HUGEINT * p.a) // (x.a::HUGEINT * y.a) AS score
+  FROM parts p JOIN f x ON x.lang = p.lang AND x.phrase = p.head AND x.k = p.cut JOIN f y ON y.lang = p.lang AND y.phrase = p.tail AND y.k = p.k - p.cut),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE k = 3),
+longer AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY ALL),
+kept AS (SELECT s.* FROM lowest s LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP13_SQL = """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+rows AS (SELECT * FROM good WHERE len(v) = (SELECT len(v) FROM good GROUP BY len(v) ORDER BY count(*) DESC, len(v) LIMIT 1)),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scores n USING (anchor_id) WHERE NOT n.same AND 100 * n.score BETWEEN 80 * positive_score AND 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
+
 def mixture_sql(sweeps: int = mixing.SWEEPS) -> str:
     """The mixture's SQL: the sweeps are a recursive query over the cells."""
     wants, joins = [], []
@@ -134,9 +191,9 @@ FROM named n JOIN rates r USING (source, lang, topic)
 
 def queries():
     """Queries by name."""
-    return {"op1_secret_scan": op1_secret_scan, "op2_raked_mixture": op2_raked_mixture, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_line_dedup": op4_line_dedup, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {"op1_secret_scan": op1_secret_scan, "op2_raked_mixture": op2_raked_mixture, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_line_dedup": op4_line_dedup, "op5_ppm_language": op5_ppm_language, "op6_genetic_packing": op6_genetic_packing, "op7_subsequence_toxicity": op7_subsequence_toxicity, "op8_rotated_codes": op8_rotated_codes, "op9_rendezvous_sharding": op9_rendezvous_sharding, "op10_exact_dedup": op10_exact_dedup, "op11_pivot_phrases": op11_pivot_phrases, "op12_backtracking_bpe": op12_backtracking_bpe, "op13_norm_bucketed_negatives": op13_norm_bucketed_negatives}
 
 
 def oracle_sql():
     """DuckDB SQL by query name, where SQL can express it."""
-    return {"op2_raked_mixture": mixture_sql(), "op10_exact_dedup": OP10_SQL}
+    return {"op2_raked_mixture": mixture_sql(), "op10_exact_dedup": OP10_SQL, "op11_pivot_phrases": OP11_SQL, "op13_norm_bucketed_negatives": OP13_SQL}
