@@ -116,11 +116,10 @@ def homes(sketch: np.ndarray, place: int, size: int) -> int:
     return -(-int(sketch[(place & 0xFFFFFFFF) >> (32 - COUNTERS)]) // size)
 
 
-def fragments(words: list[bytes], place: np.ndarray, first: int, last: int) -> tuple[np.ndarray, list[bytes]]:
-    """(pivots' places, fragments) of the words from `first` to before `last`: the two words on either side as far as they are no rarer than the pivot.
+def fragments(words: list[bytes], place: np.ndarray, first: int, last: int) -> tuple[np.ndarray, list[bytes], list[bytes], list[bytes]]:
+    """(places, pivots, words on their left, on their right) of the words from `first` to before `last`: two on either side as far as they are no rarer than the pivot.
 
-    Of equal words the leftmost owns an n-gram, so those on the left must come later in the order. A fragment begins with the number of words on
-    its left. A word with no neighbour gives none.
+    Of equal words the leftmost owns an n-gram, so those on the left must come later in the order. A word with no neighbour is left out. Pivots are in the order of their places.
     """
     o = np.concatenate([np.zeros(2, np.int64), place, np.zeros(2, np.int64)])
     own = place[first:last]
@@ -129,17 +128,18 @@ def fragments(words: list[bytes], place: np.ndarray, first: int, last: int) -> t
     left, right = one.astype(np.int64) + (one & (near[0] > own)), other.astype(np.int64) + (other & (near[3] >= own))
     at = np.flatnonzero((own > 0) & (left + right > 0))
     at = at[np.argsort(own[at], kind="stable")]
-    middle, left, right = at + first, left[at], right[at]
-    digits, join = (b"0", b"1", b"2"), b" ".join
-    return own[at], [digits[k] + join(words[a:z]) for k, a, z in zip(left.tolist(), (middle - left).tolist(), (middle + right + 1).tolist(), strict=True)]
+    middle, left, right = (at + first).tolist(), left[at].tolist(), right[at].tolist()
+    lefts = [words[m - 1] if n == 1 else words[m - 2] + b" " + words[m - 1] if n else b"" for m, n in zip(middle, left, strict=True)]
+    rights = [words[m + 1] if n == 1 else words[m + 1] + b" " + words[m + 2] if n else b"" for m, n in zip(middle, right, strict=True)]
+    return own[at], list(map(words.__getitem__, middle)), lefts, rights
 
 
-HOMES = ["lang", "home", "salts"]
-ROUTED = pa.schema([("lang", pa.string()), ("home", pa.int64()), ("salts", pa.int32()), ("lines", pa.binary()), ("counts", pa.binary())])
+HOMES = ["lang", "home", "salts", "pivot"]
+ROUTED = pa.schema([("lang", pa.string()), ("home", pa.int64()), ("salts", pa.int32()), ("pivot", pa.binary()), ("lefts", pa.binary()), ("rights", pa.binary()), ("counts", pa.binary())])
 
 
 def route(batches: Iterator[pa.RecordBatch], sketch: np.ndarray, size: int = CHUNK, home: int = HOME) -> Iterator[pa.RecordBatch]:
-    """(lang, home, salts, lines, counts): the fragments of each pivot, equal ones of a chunk once with their number. Frequent pivots have several homes, dealt by fragment."""
+    """Rows (lang, home, salts, pivot, lefts, rights, counts): the fragments around each pivot, equal ones of a chunk once with their number. Frequent pivots have several homes, dealt by fragment."""
     orders: dict[str, Order] = {}
     carried: dict[str, tuple[list[bytes], int]] = {}
     for lang, words, more in chunks(batches, size):
@@ -152,81 +152,125 @@ def route(batches: Iterator[pa.RecordBatch], sketch: np.ndarray, size: int = CHU
         last = max(first, len(words) - 2) if more else len(words)
         if more:
             carried[lang] = words[max(0, last - 2) :], min(2, last)
-        pivots, lines = fragments(words, np.fromiter(map(order.__getitem__, words), np.int64, len(words)), first, last)
+        placed, pivots, lefts, rights = fragments(words, np.fromiter(map(order.__getitem__, words), np.int64, len(words)), first, last)
         out: list[tuple] = []
-        cuts = [0, *(np.flatnonzero(np.diff(pivots)) + 1).tolist(), len(pivots)] if len(pivots) else []
+        cuts = [0, *(np.flatnonzero(np.diff(placed)) + 1).tolist(), len(placed)] if len(placed) else []
         for a, z in zip(cuts, cuts[1:], strict=False):
-            pivot = int(pivots[a])
-            salts = homes(sketch, pivot, home)
-            dealt_to = {0: lines[a:z]} if salts == 1 else {}
-            for line in lines[a:z] if salts > 1 else ():
-                dealt_to.setdefault(zlib.crc32(line) % salts, []).append(line)
-            for salt, some in dealt_to.items():
-                found = Counter(some)
-                row: list[bytes] = []
-                held = 0
-                for line in found:
-                    row.append(line)
-                    held += len(line)
-                    if held > ROW_BYTES:
-                        out.append((lang, pivot + salt, salts, row, found))
-                        row, held = [], 0
-                if row:
-                    out.append((lang, pivot + salt, salts, row, found))
+            # different words may share a place
+            for pivot in {pivots[a]} if z - a == 1 else set(pivots[a:z]):
+                found = Counter((x, y) for w, x, y in zip(pivots[a:z], lefts[a:z], rights[a:z], strict=True) if w == pivot)
+                place = int(placed[a])
+                salts = homes(sketch, place, home)
+                dealt_to: dict[int, list] = {}
+                for pair in found if salts > 1 else ():
+                    dealt_to.setdefault(zlib.crc32(b"\t".join(pair)) % salts, []).append(pair)
+                for salt, some in dealt_to.items() if salts > 1 else ((0, list(found)),):
+                    for row in rows_of(some):
+                        out.append((lang, place + salt, salts, pivot, row, found))
         if out:
-            lines = [b"\n".join(x[3]) for x in out]
-            counts = [None if len(x[4]) == x[4].total() else np.fromiter(map(x[4].__getitem__, x[3]), np.int64, len(x[3])).tobytes() for x in out]
-            columns = [[x[0] for x in out], [x[1] for x in out], [x[2] for x in out], lines, counts]
+            pairs = [list(zip(*x[4], strict=True)) for x in out]
+            counts = [None if len(x[5]) == x[5].total() else np.fromiter(map(x[5].__getitem__, x[4]), np.int64, len(x[4])).tobytes() for x in out]
+            columns = [*([x[k] for x in out] for k in range(4)), *([b"\n".join(p[side]) for p in pairs] for side in (0, 1)), counts]
             yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, ROUTED.types, strict=True)], schema=ROUTED)
 
 
-def grams(fragment: bytes) -> list[bytes]:
-    """The n-grams of a fragment that its pivot owns."""
-    at, words = fragment[0] - 48, fragment[1:].split(b" ")
-    n = len(words)
-    return [b" ".join(words[a:z]) for z in range(at + 1, min(n, at + LONGEST) + 1) for a in range(max(0, z - LONGEST), min(at, z - 2) + 1)]
+def rows_of(pairs: list[tuple[bytes, bytes]]) -> Iterator[list[tuple[bytes, bytes]]]:
+    """`pairs` in parts of about ROW_BYTES."""
+    held, begin = 0, 0
+    for k, (x, y) in enumerate(pairs):
+        held += len(x) + len(y)
+        if held > ROW_BYTES:
+            yield pairs[begin : k + 1]
+            held, begin = 0, k + 1
+    if begin < len(pairs):
+        yield pairs[begin:]
+
+
+class Pivot:
+    """The fragments that a home of a pivot has so far."""
+
+    def __init__(self, lang: str, home: int, salts: int, word: bytes):
+        self.key = lang, home, salts, word
+        self.lefts, self.rights = Counter(), Counter()
+        self.pairs: list[tuple] = []
+
+    def add(self, lefts: bytes, rights: bytes, counts: bytes | None) -> None:
+        """Takes a row of fragments."""
+        x, y = lefts.split(b"\n"), rights.split(b"\n")
+        n = None if counts is None else np.frombuffer(counts, np.int64).tolist()
+        for held, side in ((self.lefts, x), (self.rights, y)):
+            if n is None:
+                held.update(side)
+            else:
+                for words, times in zip(side, n, strict=True):
+                    held[words] += times
+        self.pairs.append((x, y, n))
+
+    def grams(self, least: int) -> dict[bytes, int]:
+        """The n-grams that the pivot owns, `least` times or more here: with the words on one side, or one word of each side."""
+        word = self.key[3]
+        near: tuple[Counter, Counter] = Counter(), Counter()
+        first: tuple[dict, dict] = {}, {}
+        out: dict[bytes, int] = {}
+        for side, held in enumerate((self.lefts, self.rights)):
+            for words, n in held.items():
+                if words:
+                    one = words.partition(b" ")[0] if side else words.rpartition(b" ")[2]
+                    first[side][words] = one
+                    near[side][one] += n
+                    if n >= least and len(one) < len(words):
+                        out[word + b" " + words if side else words + b" " + word] = n
+            for one, n in near[side].items():
+                if n >= least:
+                    out[word + b" " + one if side else one + b" " + word] = n
+        # an n-gram is no more frequent than what it holds
+        left, right = ({words: one for words, one in first[side].items() if near[side][one] >= least} for side in (0, 1))
+        if left and right:
+            middle: Counter = Counter()
+            for x, y, n in self.pairs:
+                both = zip(map(left.get, x), map(right.get, y), strict=True)
+                if n is None:
+                    middle.update([p for p in both if p[0] and p[1]])
+                else:
+                    for p, times in zip(both, n, strict=True):
+                        if p[0] and p[1]:
+                            middle[p] += times
+            out.update((x + b" " + word + b" " + y, n) for (x, y), n in middle.items() if n >= least)
+        return out
 
 
 MINED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64()), ("part", pa.bool_())])
 
 
 def mine(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, a, part) of rows of route() sorted by lang and home: the n-grams that each home owns and holds `least` times; those of a pivot with several homes are part of a count."""
-    out: list[tuple[str, list[bytes], list[int], bool]] = []
-
-    def closed(key: tuple, held: Counter) -> None:
-        lang, _, salts = key
-        if salts == 1 and held.total() < least:
-            return
-        found: Counter[bytes] = Counter()
-        for line, n in held.items():
-            for gram in grams(line):
-                found[gram] += n
-        kept = [(g, n) for g, n in found.items() if salts > 1 or n >= least]
-        if kept:
-            out.append((lang, [g for g, _ in kept], [n for _, n in kept], salts > 1))
+    """(lang, phrase, a, part) of rows of route() sorted by HOMES: the n-grams that each pivot owns and its home holds `least` times; those of a pivot with several homes are part of a count."""
+    out: list[tuple[str, dict[bytes, int], bool]] = []
+
+    def closed(pivot: Pivot) -> None:
+        lang, _, salts, _ = pivot.key
+        if salts > 1 or pivot.lefts.total() >= least:
+            found = pivot.grams(1 if salts > 1 else least)
+            if found:
+                out.append((lang, found, salts > 1))
 
     def rows() -> pa.RecordBatch:
-        columns = [[x[0] for x in out for _ in x[1]], [g.decode() for x in out for g in x[1]], [n for x in out for n in x[2]], [x[3] for x in out for _ in x[1]]]
+        grams = pa.array([g for x in out for g in x[1]], pa.binary()).cast(pa.string())
+        columns = [pa.array([x[0] for x in out for _ in x[1]], pa.string()), grams, pa.array([n for x in out for n in x[1].values()], pa.int64()), pa.array([x[2] for x in out for _ in x[1]], pa.bool_())]
         out.clear()
-        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, MINED.types, strict=True)], schema=MINED)
+        return pa.record_batch(columns, schema=MINED)
 
-    key, held = None, Counter()
+    now = None
     for batch in batches:
-        for *now, lines, counts in zip(*[batch.column(c).to_pylist() for c in ROUTED.names], strict=True):
-            if key != tuple(now):
-                if key:
-                    closed(key, held)
-                key, held = tuple(now), Counter()
-            if counts is None:
-                held.update(lines.split(b"\n"))
-            else:
-                for line, n in zip(lines.split(b"\n"), np.frombuffer(counts, np.int64).tolist(), strict=True):
-                    held[line] += n
+        for *key, lefts, rights, counts in zip(*[batch.column(c).to_pylist() for c in ROUTED.names], strict=True):
+            if now is None or now.key != tuple(key):
+                if now:
+                    closed(now)
+                now = Pivot(*key)
+            now.add(lefts, rights, counts)
             if sum(len(x[1]) for x in out) > 20_000:
                 yield rows()
-    if key:
-        closed(key, held)
+    if now:
+        closed(now)
     yield rows()
 
 
@@ -256,7 +300,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= least)
     sketch = spark.sparkContext.broadcast(order_sketch(frequent))
-    routed = materialised(texts.mapInArrow(lambda batches: route(batches, sketch.value), "lang string, home long, salts int, lines binary, counts binary").repartition(dealt(spark), *HOMES).sortWithinPartitions(*HOMES).mapInArrow(lambda batches: mine(batches, least), "lang string, phrase string, a long, part boolean"), "phrase-counts")
+    routed = materialised(texts.mapInArrow(lambda batches: route(batches, sketch.value), "lang string, home long, salts int, pivot binary, lefts binary, rights binary, counts binary").repartition(dealt(spark), *HOMES).sortWithinPartitions(*HOMES).mapInArrow(lambda batches: mine(batches, least), "lang string, phrase string, a long, part boolean"), "phrase-counts")
     summed = routed.where("part").groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     found = materialised(routed.where("not part").select("lang", "phrase", "a").unionByName(summed), "phrases")
     out = materialised(ranked(found, frequent.select("lang", "word", "f"), totals, within, first), "collocations")

@@ -92,7 +92,7 @@ def test_cut_anywhere_and_many_homes(size, home):
             sketch[phrases.xxhash.xxh64_intdigest(w.encode(), phrases.seed(lang)) >> (64 - phrases.COUNTERS)] += a
     batches = [pa.record_batch([pa.array([r[0] for r in part]), pa.array([r[1] for r in part])], names=["lang", "text"]) for part in (rows[:7], rows[7:])]
     routed = [r for b in phrases.route(iter(batches), sketch, size, home) for r in b.to_pylist()]
-    routed.sort(key=lambda r: (r["lang"], r["home"], r["salts"]))
+    routed.sort(key=lambda r: (r["lang"], r["home"], r["salts"], r["pivot"]))
     table = pa.Table.from_pylist(routed, phrases.ROUTED)
     got = Counter()
     for b in phrases.mine(iter(table.to_batches(max_chunksize=5)), 1):
@@ -107,7 +107,7 @@ def test_long_words_make_short_rows():
     rows = [("en", " ".join("w" * 5000 + str(k % 30) for k in range(600)))]
     sketch = np.full(1 << phrases.COUNTERS, 20, np.int64)
     batches = [pa.record_batch([pa.array(["en"]), pa.array([rows[0][1]])], names=["lang", "text"])]
-    sizes = [len(r["lines"]) for b in phrases.route(iter(batches), sketch) for r in b.to_pylist()]
+    sizes = [len(r["lefts"]) + len(r["rights"]) for b in phrases.route(iter(batches), sketch) for r in b.to_pylist()]
     assert max(sizes) < phrases.ROW_BYTES + 30_000
 
 
