@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorewright.functions import keys
-from lorewright.operators.relational import latest
+from lorewright.sources.keyed import Keyed
 
 BRONZE = "id string, bucket string, object_path string, drive_file_id string, modified_time string, hash_md5 string, origen string, created_at timestamp"
 
@@ -33,23 +33,14 @@ class Store:
 
     def read(self, schema: str, table: str, columns: str) -> DataFrame:
         """A table; empty with these columns if it was never written."""
-        path = self.path(schema, table)
-        return self.spark.read.schema(columns).parquet(path) if self.exists(path) else self.spark.createDataFrame([], columns)
+        return Keyed(self.spark, self.path(schema, table)).read(columns)
 
     def append_new(self, rows: DataFrame, schema: str, table: str, key: Column, order: list[Column]) -> dict[str, int]:
         """Appends the rows whose key isn't stored, the first of each key in `order`; counts of new and existing ones. A rerun writes nothing.
 
-        Of the stored table only the key's columns are read, once; what is written is counted on the way.
+        The rows are worked out once, and of the stored files only those are opened that may hold one of their keys (see sources.keyed).
         """
-        columns = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
-        stored = self.read(schema, table, columns).select(key.alias("_k"))
-        keyed = rows.withColumn("_k", key)
-        first = latest(keyed, ["_k"], order)
-        fresh = first.join(stored, first["_k"].eqNullSafe(stored["_k"]), "left_anti").drop("_k")
-        written = Observation()
-        fresh.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(self.path(schema, table))
-        new = written.get["n"]
-        return {"nuevos": new, "existentes": rows.count() - new}
+        return Keyed(self.spark, self.path(schema, table)).append(rows, key, order)
 
     def capture(self, files: DataFrame, layer: str, flow: str) -> dict[str, int]:
         """Stores files (name, content, drive_file_id, modified_time): the objects first, then the rows that name them.
