@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import shipped
 
-#: Units of text that a worker remembers the ids of, characters of one of them at most; pairs of tokens that it remembers.
-UNITS, UNIT_LENGTH, PAIRS = 250_000, 40, 1_000_000
+#: Units of text that a worker remembers the ids of (twice as many at most), characters of one of them at most; pairs of tokens that it remembers.
+UNITS, UNIT_LENGTH, PAIRS = 400_000, 40, 1_000_000
 #: Units of a text that are looked at together.
 TOGETHER = 1 << 16
 #: Bytes of a word whose longest matches are found together.
@@ -24,18 +24,19 @@ STRETCH = 1 << 16
 _LOADED: dict[tuple[str, str], Codec] = {}
 
 
-class Known(dict):
-    """(ids, the same in decimals with a blank before each) of units of text; long ones are not kept."""
+class Recent(dict):
+    """What `make` gives for keys that were asked for of late: when `size` of them are held they become the older half, of which those asked for again stay."""
 
-    def __init__(self, codec: Codec):
-        self.codec = codec
+    def __init__(self, make, size: int, length: int):
+        self.make, self.size, self.length, self.older = make, size, length, {}
 
-    def __missing__(self, unit: str) -> tuple[tuple[int, ...], str]:
-        word = self.codec.word
-        ids = tuple(i for w in self.codec.pattern.findall(unit) for i in word(w.encode()))
-        out = ids, "".join([f" {i}" for i in ids])
-        if len(unit) <= UNIT_LENGTH:
-            self[unit] = out
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        out = self.older.get(key) or self.make(key)
+        if len(key) <= self.length:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[key] = out
         return out
 
 
@@ -56,9 +57,11 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.raw = {n: t for t, n in self.ranks.items()}
         self.before = {n: len(t) - 1 for n, t in self.raw.items()}
+        self.same = {n: n for n in self.raw}
         # white space before a blank or after it
         self.runs = regex.compile(r"\s | \s")
-        self.known = Known(self)
+        self.alone, self.after_blank = Recent(self.word_ids, UNITS // 4, UNIT_LENGTH), Recent(self.unit_ids, UNITS, UNIT_LENGTH)
+        self.decimals = {n: str(n) for n in self.raw}
         self.pairs: dict[tuple[int, int], bool] = {}
         # when a token comes to be: single bytes are there before any merge
         self.born = {n: -1 if len(t) == 1 else n for t, n in self.ranks.items()}
@@ -134,24 +137,36 @@ class Codec:
             return [n]
         found, size, before, pairs, beside = self.longest(raw.decode("latin-1")), len(raw), self.before, self.pairs, self.beside
         out: list[int] = []
-        given_up, at, token = set(), 0, found[0]
+        shorter, given_up, at, last, token = self.shorter, set(), 0, None, found[0]
         while True:
             end = at + before[token] + 1
-            if end not in given_up and (not out or (known if (known := pairs.get((out[-1], token))) is not None else beside(out[-1], token))):
+            if end not in given_up and (last is None or (known if (known := pairs.get((last, token))) is not None else beside(last, token))):
                 out.append(token)
                 if end == size:
                     return out
-                at, token = end, found[end]
+                at, last, token = end, token, found[end]
                 continue
-            token = self.shorter[token]
+            token = shorter[token]
             while token is None:
                 given_up.add(at)
-                last = out.pop()
-                at -= before[last] + 1
-                token = self.shorter[last]
+                token = out.pop()
+                at -= before[token] + 1
+                token, last = shorter[token], out[-1] if out else None
 
-    def units(self, text: str) -> Iterator[list[str]]:
-        """`text` cut into units of whole words of the pattern, a bounded number at a time.
+    def word_ids(self, word: str) -> tuple[int, ...]:
+        """Ids of one word of the pattern; equal ids are one object."""
+        return tuple(map(self.same.__getitem__, self.word(word.encode())))
+
+    def unit_ids(self, unit: str) -> tuple[int, ...]:
+        """Ids of a blank and `unit`. Letters alone are one word of the pattern; of other units the letters at the front are looked up as such."""
+        if unit.isalpha():
+            return self.word_ids(f" {unit}")
+        first, *rest = self.pattern.findall(f" {unit}")
+        bare = first[1:]
+        return tuple(chain(self.after_blank[bare] if bare.isalpha() else self.alone[first], *map(self.alone.__getitem__, rest)))
+
+    def units(self, text: str) -> Iterator[tuple[Recent, list[str]]]:
+        """`text` in units of whole words of the pattern and the table of their ids, a bounded number at a time.
 
         A blank that follows no white space and is followed by none begins a word, and what is before ends one: where all blanks are so,
         the text is cut before each of them. In other texts each word is a unit.
@@ -159,28 +174,27 @@ class Codec:
         if self.runs.search(text) or text[-1:] == " ":
             found = self.pattern.finditer(text)
             while words := [m.group() for m in islice(found, TOGETHER)]:
-                yield words
+                yield self.alone, words
             return
         begin = 0
         while begin < len(text):
-            # as much as TOGETHER units of the common size
+            # as much as TOGETHER units of the common size; a later part begins with a blank
             end = text.find(" ", begin + 8 * TOGETHER)
             end = len(text) if end < 0 else end
             first, *rest = text[begin:end].split(" ")
-            yield [f" {x}" for x in rest] if not first else [first, *[f" {x}" for x in rest]]
+            if first:
+                yield self.alone, self.pattern.findall(first)
+            yield self.after_blank, rest
             begin = end
 
-    def blocks(self, text: str) -> Iterator[tuple[list[int], list[str]]]:
-        """(ids, the same in decimals with a blank before each) of `text`, a bounded number of units at a time."""
-        for units in self.units(text):
-            if len(self.known) > UNITS:
-                self.known.clear()
-            found = list(map(self.known.__getitem__, units))
-            yield list(chain.from_iterable(x[0] for x in found)), [x[1] for x in found]
+    def blocks(self, text: str) -> Iterator[list[int]]:
+        """Ids of `text`, a bounded number of units at a time."""
+        for table, units in self.units(text):
+            yield list(chain.from_iterable(map(table.__getitem__, units)))
 
     def encode(self, text: str) -> list[int]:
         """Ids of `text`."""
-        return list(chain.from_iterable(ids for ids, _ in self.blocks(text)))
+        return list(chain.from_iterable(self.blocks(text)))
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of ids; an unknown one is a KeyError."""
@@ -189,9 +203,9 @@ class Codec:
     def digests(self, text: str) -> tuple[int, str, str]:
         """(number of ids, SHA-256 of them in decimals with blanks between, SHA-256 of the bytes that they decode to)."""
         count, listed, plain = 0, hashlib.sha256(), hashlib.sha256()
-        for ids, decimals in self.blocks(text):
+        for ids in self.blocks(text):
             if ids:
-                listed.update("".join(decimals).encode()[0 if count else 1 :])
+                listed.update(((" " if count else "") + " ".join(map(self.decimals.__getitem__, ids))).encode())
                 plain.update(self.decode(ids))
                 count += len(ids)
         return count, listed.hexdigest(), plain.hexdigest()
