@@ -58,34 +58,38 @@ def filler_sql(x: str) -> str:
     return x
 
 
-def clause_sql(x: str) -> str:
-    """SQL of functions.text.without_repeated_clauses()."""
+def clause_sql(parts: str) -> str:
+    """SQL of functions.text.without_repeated_clauses(), of a column of clauses."""
     norm = lambda c: f"lower({strip_sql(c)})"
-    return f"array_to_string(list_filter(string_split({x}, ','), lambda c, i: i = 1 OR {norm('c')} = '' OR {norm('c')} <> {norm(f'string_split({x}, chr(44))[i - 1]')}), ',')"
+    return f"array_to_string(list_filter({parts}, lambda c, i: i = 1 OR {norm('c')} = '' OR {norm('c')} <> {norm(f'{parts}[i - 1]')}), ',')"
 
 
-def tidy_sql(x: str) -> str:
-    """SQL of functions.text.tidied(), of a column name."""
-    for pattern, by in (("\\s*,(?:\\s*,)+", ","), ("\\s{2,}", " "), ("\\s+([,.!?])", "\\1"), ("^[,\\s]+", ""), ("[,\\s]+$", "")):
-        x = f"regexp_replace({x}, '{pattern}', '{by}', 'g')"
-    return x
+def tidy_sql(runs: str) -> str:
+    """SQL of functions.text.tidied() without capital and stop, of a column of runs: commas, white space, and the rest."""
+    blank = f"CASE WHEN {runs}[i + 1][1] IN (',', '.', '!', '?') THEN '' WHEN len(r) > 1 THEN ' ' ELSE r END"
+    made = f"list_transform({runs}, lambda r, i: CASE WHEN r[1] = ',' THEN repeat(',', (len(r) - len(replace(r, ',', '')) + 1) // 2) WHEN {strip_sql('r')} = '' THEN {blank} ELSE r END)"
+    return f"trim(array_to_string({made}, ''), ',' || {WS})"
+
+
+WORD = "[\\p{L}\\p{M}\\p{Nd}_]+"
 
 
-_WORD = "[\\p{L}\\p{M}\\p{Nd}_]+"
+#: Pattern of the runs that tidy_sql() takes.
+RUNS = ",(?:\\s*,)*|\\s+|[^\\s,]+"
 
 
-def repeats_sql(x: str) -> str:
-    """SQL of functions.text.without_repeated_words(), of a column name."""
-    words, gaps = f"regexp_extract_all({x}, '{_WORD}')", f"regexp_split_to_array({x}, '{_WORD}')"
-    part = f"CASE WHEN i > 1 AND lower(w) = lower({words}[i - 1]) AND regexp_matches({gaps}[i], '^\\s+$') THEN '' ELSE {gaps}[i] || w END"
+def repeats_sql(words: str, gaps: str) -> str:
+    """SQL of functions.text.without_repeated_words(), of columns of the words and of what parts them."""
+    part = f"CASE WHEN i > 1 AND lower(w) = lower({words}[i - 1]) AND {gaps}[i] <> '' AND {strip_sql(f'{gaps}[i]')} = '' THEN '' ELSE {gaps}[i] || w END"
     return f"coalesce(array_to_string(list_transform({words}, lambda w, i: {part}), ''), '') || {gaps}[len({gaps})]"
 
 
 def cleaned_sql(source: str, keys: str) -> str:
-    """CTEs of functions.text.cleaned() for explanations: `source` has `keys` and texto; the result is `limpio` with `keys` and x."""
+    """CTEs of functions.text.cleaned() for explanations: `source` has `keys` and texto; the result is `limpio` with `keys` and x. Lists that lambdas name are columns, made once a text."""
     finish = "CASE WHEN x = '' OR regexp_matches(x, '[.!?]$') THEN y ELSE y || '.' END"
-    return f"""c1 AS (SELECT {keys}, {filler_sql('texto')} AS x FROM {source}), c2 AS (SELECT {keys}, {clause_sql('x')} AS x FROM c1),
-c3 AS (SELECT {keys}, {repeats_sql('x')} AS x FROM c2), c4 AS (SELECT {keys}, {tidy_sql('x')} AS x FROM c3),
+    return f"""c1 AS MATERIALIZED (SELECT {keys}, string_split({filler_sql('texto')}, ',') AS parts FROM {source}), c2 AS MATERIALIZED (SELECT {keys}, {clause_sql('parts')} AS x FROM c1),
+w AS MATERIALIZED (SELECT {keys}, regexp_extract_all(x, '{WORD}') AS words, regexp_split_to_array(x, '{WORD}') AS gaps FROM c2), c3 AS MATERIALIZED (SELECT {keys}, {repeats_sql('words', 'gaps')} AS x FROM w),
+r AS MATERIALIZED (SELECT {keys}, regexp_extract_all(x, '{RUNS}') AS runs FROM c3), c4 AS MATERIALIZED (SELECT {keys}, {tidy_sql('runs')} AS x FROM r),
 c5 AS (SELECT {keys}, x, CASE WHEN regexp_matches(x, '^\\p{{L}}') THEN upper(x[1]) || x[2:] ELSE x END AS y FROM c4),
 limpio AS (SELECT {keys}, {finish} AS x FROM c5)"""
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lorewright.functions import keys, text
 from lorewright.operators import fragments
 from lorewright.plans.binding import (
-    PREFIX, SUBTYPE_SQL, clause_sql, cleaned_sql, filler_sql, fragments_sql, load, quality_sql, register, repeats_sql, strip_sql, tidy_sql, words_sql,
+    PREFIX, RUNS, SUBTYPE_SQL, WORD, clause_sql, cleaned_sql, filler_sql, fragments_sql, load, quality_sql, register, repeats_sql, strip_sql, tidy_sql, words_sql,
 )
 
 QUERIES: dict = {}
@@ -38,7 +38,7 @@ def filler_removal(spark, sf_dir):
     return injected(spark, sf_dir).select("doc_id", text.without_fillers(F.col("text")).alias("texto"))
 
 
-@query("clause_dedup", f"WITH t AS (SELECT doc_id, concat({PREFIX!r}, text) AS x FROM documents) SELECT doc_id, {clause_sql('x')} AS texto FROM t")
+@query("clause_dedup", f"WITH t AS (SELECT doc_id, concat({PREFIX!r}, text) AS x FROM documents), s AS MATERIALIZED (SELECT doc_id, string_split(x, ',') AS parts FROM t) SELECT doc_id, {clause_sql('parts')} AS texto FROM s")
 def clause_dedup(spark, sf_dir):
     """Whole texts without repeated clauses."""
     return injected(spark, sf_dir).select("doc_id", text.without_repeated_clauses(F.col("text")).alias("texto"))
@@ -54,19 +54,20 @@ def word_dedup(spark, sf_dir):
 
 
 @query("space_punct", f"""
-WITH t AS (SELECT doc_id, {tidy_sql("replace(concat(' , ', text), '. ', ' ,, .  ')")} AS x FROM documents)
+WITH r AS MATERIALIZED (SELECT doc_id, regexp_extract_all(replace(replace(concat(' , ', text), '. ', ' ,, .  '), 'th', ',, , th'), '{RUNS}') AS runs FROM documents), t AS (SELECT doc_id, {tidy_sql('runs')} AS x FROM r)
 SELECT doc_id, CASE WHEN x = '' THEN x WHEN regexp_matches(x, '[.!?]$') THEN y ELSE y || '.' END AS texto
 FROM (SELECT doc_id, x, CASE WHEN regexp_matches(x, '^\\p{{L}}') THEN upper(x[1]) || x[2:] ELSE x END AS y FROM t)""")
 def space_punct(spark, sf_dir):
     """Whole texts tidied after blanks and commas were put in."""
-    rough = F.replace(F.concat(F.lit(" , "), "text"), F.lit(". "), F.lit(" ,, .  "))
+    rough = F.replace(F.replace(F.concat(F.lit(" , "), "text"), F.lit(". "), F.lit(" ,, .  ")), F.lit("th"), F.lit(",, , th"))
     return load(spark, sf_dir, "documents").select("doc_id", text.tidied(rough).alias("texto"))
 
 
 _CLEAN_STEP = f"""
-c AS (SELECT doc_id, {clause_sql('x')} AS x FROM (SELECT doc_id, {filler_sql("concat('bueno, el caso, el caso, ', trim(" + _LETTERS + "))")} AS x FROM documents)),
+s AS MATERIALIZED (SELECT doc_id, string_split({filler_sql("concat('bueno, el caso, el caso, ', trim(" + _LETTERS + "))")}, ',') AS parts FROM documents),
+c AS (SELECT doc_id, {clause_sql('parts')} AS x FROM s),
 d AS (SELECT doc_id, list_transform(string_split(x, ','), lambda p: array_to_string(list_filter(string_split(p, ' '), lambda w, i: i = 1 OR w = '' OR lower(w) <> lower(string_split(p, ' ')[i - 1])), ' ')) AS p FROM c),
-e AS (SELECT doc_id, {tidy_sql("array_to_string(p, ',')")} AS x FROM d)"""
+r AS MATERIALIZED (SELECT doc_id, regexp_extract_all(array_to_string(p, ','), '{RUNS}') AS runs FROM d), e AS (SELECT doc_id, {tidy_sql('runs')} AS x FROM r)"""
 
 
 @query("clean_fragment", f"WITH {_CLEAN_STEP.lstrip()} SELECT doc_id, CASE WHEN x = '' THEN x ELSE upper(x[1]) || x[2:] || '.' END AS texto FROM e")
@@ -76,7 +77,7 @@ def clean_fragment(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", text.cleaned(body, F.lit("explicacion")).alias("texto"))
 
 
-@query("word_dedup_whole", f"SELECT doc_id, {repeats_sql('text')} AS texto FROM documents")
+@query("word_dedup_whole", f"WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS words, regexp_split_to_array(text, '{WORD}') AS gaps FROM documents) SELECT doc_id, {repeats_sql('words', 'gaps')} AS texto FROM w")
 def word_dedup_whole(spark, sf_dir):
     """Whole texts, punctuation and digits with them, without consecutive repeats of words."""
     return load(spark, sf_dir, "documents").select("doc_id", text.without_repeated_words(F.col("text")).alias("texto"))

@@ -130,7 +130,7 @@ def historic(store: Store, runs: DataFrame, quote: Callable[[Column], Column], a
     rows = marking.cut_setups(windows.where("error is null")).select("doc_id", key, "texto")
     decided, wrong = written(store, rows.select("key", "texto"), ask, propose, "propio_historico", reconcile.JOKE_KINDS, embed)
     wrong = kept(store, wrong.unionByName(windows.where("error is not null").select(key, "error")), "errores")
-    broken = wrong.select(F.substring_index("key", "#", 1).alias("doc_id")).distinct()
+    broken = wrong.join(windows.select(key, F.col("doc_id").cast("string").alias("doc_id")), "key").select("doc_id").distinct()
     finished = good.select(F.col("doc_id").cast("string").alias("doc_id")).join(broken, "doc_id", "left_anti")
     state = finished.join(hashes.select(F.col("doc_id").cast("string").alias("doc_id"), "md5"), "doc_id").withColumn("procesado_at", F.current_timestamp())
     count = store.append_new(state, "silver", "historico_estado", F.struct("doc_id", "md5"), [F.col("md5")])["nuevos"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lorewright.functions.text import message_body
 from lorewright.functions.unicode import nfc
+from lorewright.sources.scratch import Scratch
 
 #: Outcomes of an update.
 NOT_A_MESSAGE, NOT_ALLOWED, DUPLICATE, ACCEPTED = "ignorado", "no_autorizado", "duplicado", "aceptado"
@@ -69,17 +70,19 @@ def write_bronze(stream: DataFrame, store, checkpoint: str, table: str = "chiste
 def replay(store, rows: DataFrame, process: Callable[[DataFrame], DataFrame], table: str = "chistes_telegram") -> dict[str, int]:
     """Runs `process` on the rows (id, ...) that aren't marked processed; it returns (id, error), and only ids without an error are marked.
 
-    exit: 0 if all went well, 1 if some rows failed, 2 if `process` itself did, in which case nothing is marked.
+    What `process` gives is written before it is read, so it is asked once. exit: 0 if all went well, 1 if some rows failed, 2 if `process` itself did, in which case nothing is marked.
     """
     pending = store.unprocessed(rows, "bronze", table)
+    scratch = Scratch(store.spark, "replay")
     try:
-        done = process(pending)
+        done = scratch.write(process(pending), "done")
         counts = done.agg(F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull())).first()
     except Exception as e:  # noqa: BLE001  the rows stay pending
         print(f"replay: {type(e).__name__}")
         return {"procesados": 0, "fallidos": 0, "exit": 2}
     good = done.where("error is null").select("id")
     store.mark_processed(good, "bronze", table)
+    scratch.close()
     return {"procesados": counts[0], "fallidos": counts[1], "exit": 0 if not counts[1] else 1}
 
 
