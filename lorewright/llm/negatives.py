@@ -57,7 +57,7 @@ def best_of(hits: DataFrame, k: int) -> DataFrame:
 def searched(table: DataFrame, about: pd.DataFrame, anchors: DataFrame, windows: DataFrame, same: bool, k: int, exact: bool, group: int = ANCHORS) -> DataFrame:
     """(anchor, place, id, score): the `k` best rows of `table` in each window (anchor, place, low, high) of the anchors (anchor, id, label, v, norm), of the same label or of others.
 
-    Buckets are met in the order of their norms, in rounds that double: a window goes to a bucket only if |anchor| times the bucket's highest
+    Buckets are met in the order of their norms, in rounds that grow fourfold: a window goes to a bucket only if |anchor| times the bucket's highest
     norm reaches its lower limit and, once it holds `k` rows, the last of their scores. Equal scores go on, since ids decide between them.
     """
     spark = table.sparkSession
@@ -111,7 +111,7 @@ def searched(table: DataFrame, about: pd.DataFrame, anchors: DataFrame, windows:
     kinds = "anchor long, id long, label long, v array<long>, norm double, places array<int>, highs array<long>, limits array<long>"
     begin = 0
     while begin < chains:
-        end = 2 * begin + 1
+        end = 4 * begin + 1
         limits = windows.withColumn("limit", F.col("low"))
         if hits is not None:
             kth = hits.groupBy("anchor", "place").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
