@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorewright.functions import keys
-from lorewright.operators import cost, relational, validate
+from lorewright.operators import cost, relational, temporal, validate
 from lorewright.plans.binding import fragments_sql, load, register, strip_sql
 from lorewright.plans.queries_relational import _MARKED, marked, rendered
 from lorewright.sources import files, listing
-from lorewright.streaming import updates
+from lorewright.sources.keyed import Keyed
+from lorewright.sources.scratch import Scratch
+from lorewright.sources.store import Store
+from lorewright.streaming import pending, updates
 
 QUERIES: dict = {}
 query = lambda name, sql=None: register(QUERIES, name, sql)
@@ -132,6 +135,61 @@ def synchronous_leg(spark, sf_dir):
     return found.select("telegram_update_id", "texto_raw", "estado", "texto_limpio")
 
 
+@query("pruned_appends", """
+WITH e AS (SELECT event_id AS id, event_id // 3 AS clave, event_type AS texto, CASE WHEN event_id % 100 = 99 THEN 9 ELSE floor(event_id * 9 / (SELECT max(event_id) + 1 FROM events)) END AS lote FROM events)
+SELECT id, clave, texto FROM e QUALIFY row_number() OVER (PARTITION BY clave ORDER BY lote, id) = 1""")
+def pruned_appends(spark, sf_dir):
+    """What a keyed table holds after ten appends, of which the last repeats keys of all the others."""
+    e = load(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.floor(F.col("event_id") / 3).alias("clave"), F.col("event_type").alias("texto"))
+    size = e.agg(F.max("id") + 1).first()[0]
+    lot = F.when(F.col("id") % 100 == 99, 9).otherwise(F.floor(F.col("id") * 9 / size))
+    table = Keyed(spark, Scratch(spark, "appends").root)
+    for k in range(10):
+        table.append(e.where(lot == k), F.col("clave"), [F.col("id")])
+    return table.read("id long, clave long, texto string")
+
+
+@query("replayed_messages", """
+WITH m AS (SELECT event_id AS id, event_id % 6 AS fallos, least(event_id % 6 + 1, 4) AS n, ts FROM events),
+o AS (SELECT id, CASE WHEN fallos < 4 THEN 'procesado' ELSE 'abandonado' END AS estado, n::INTEGER AS intentos, CASE WHEN fallos >= 4 THEN 'fallo ' || n END AS error, ts + INTERVAL 10 MINUTE * (2 ** (n - 1) - 1)::INTEGER AS resuelto_at FROM m)
+SELECT * FROM o WHERE intentos = 1 OR resuelto_at <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)""")
+def replayed_messages(spark, sf_dir):
+    """Outcomes of all events as messages that fail some times, as far as the watermark has come at the end of the stream."""
+    root, found = Scratch(spark, "replay").root, load(spark, sf_dir, "events")
+    found.select(F.col("event_id").alias("id"), (F.col("event_id") % 6).cast("string").alias("texto"), "ts").write.parquet(f"{root}/in")
+    rows = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).parquet(f"{root}/in")
+
+    def attempt(some):
+        return [None if int(t) < n else f"fallo {n}" for t, n in zip(some["texto"], some["intentos"], strict=True)]
+
+    store = Store(spark, f"{root}/store")
+    pending.replay_stream(store, rows, attempt, f"{root}/checkpoint").awaitTermination()
+    return store.read("bronze", "chistes_telegram_resueltos", pending.OUTCOME)
+
+
+@query("as_of_join", """
+SELECT a.event_id, a.user_id, b.event_id AS compra_id, b.value AS compra FROM events a ASOF LEFT JOIN (SELECT user_id, ts, arg_max(event_id, event_id) AS event_id, arg_max(value, event_id) AS value FROM events WHERE event_id % 4 = 0 GROUP BY user_id, ts) b
+ON a.user_id = b.user_id AND a.ts >= b.ts WHERE a.event_id % 4 <> 0""")
+def as_of_join(spark, sf_dir):
+    """For three events of four, the same user's latest one of the others not after it."""
+    e = load(spark, sf_dir, "events")
+    right = e.where("event_id % 4 = 0").select("user_id", "ts", F.col("event_id").alias("compra_id"), F.col("value").alias("compra"))
+    return temporal.as_of(e.where("event_id % 4 <> 0").select("event_id", "user_id", "ts"), right, "user_id", "ts", ["compra_id", "compra"], "compra_id").drop("ts")
+
+
+_SPANS = """s AS (SELECT doc_id, unnest(list_transform(range(0, length(text) // 97 + 1), lambda i: i)) AS i, length(text) AS n FROM documents),
+asides AS (SELECT doc_id, i * 97 AS a, i * 97 + 1 + (i * 31) % 40 AS z FROM s), windows AS (SELECT doc_id, i * 97 - 20 AS b, i * 97 + CASE WHEN i % 11 = 0 THEN 900 ELSE 30 END AS y FROM s WHERE i % 2 = 0)"""
+
+
+@query("asides_in_windows", f"WITH {_SPANS} SELECT doc_id, a, z, b, y FROM asides JOIN windows USING (doc_id) WHERE a < y AND b < z")
+def asides_in_windows(spark, sf_dir):
+    """Asides of all documents and the windows that they overlap, by offsets."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.length("text") / 97))).alias("i"))
+    asides = docs.select("doc_id", (F.col("i") * 97).alias("a"), (F.col("i") * 97 + 1 + F.col("i") * 31 % 40).alias("z"))
+    windows = docs.where("i % 2 = 0").select("doc_id", (F.col("i") * 97 - 20).alias("b"), (F.col("i") * 97 + F.when(F.col("i") % 11 == 0, 900).otherwise(30)).alias("y"))
+    return temporal.overlapping(asides, windows, "doc_id", "a", "z", "b", "y")
+
+
 @query("pending_events", "SELECT event_id AS id, event_type AS texto_raw FROM events WHERE event_id % 3 <> 1")
 def pending_events(spark, sf_dir):
     """Events without a processed mark."""

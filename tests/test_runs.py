@@ -87,6 +87,24 @@ def test_historic_documents_once_each(spark, tmp_path):
     assert (last["exit"], last["finished"], last["jokes"]) == (runs.OK, 1, 1) and runs.jokes_of(store).count() == 4
 
 
+def test_a_failed_joke_of_any_id_is_tried_again(spark, tmp_path):
+    """The id of a document is no part of a key that is cut: one that holds the separator stays pending until all its jokes are good."""
+    store = stored(spark, tmp_path)
+    named = lambda *docs: coloured(spark, *[(k, jokes) for k, (_, jokes) in enumerate(docs)]).join(spark.createDataFrame([(k, n) for k, (n, _) in enumerate(docs)], "doc_id long, n string"), "doc_id").select(F.col("n").alias("doc_id"), "para", "run", "color", "texto")
+    first = runs.historic(store, named(("dir/a#b.docx", [("Va mal", "la cosa")]), ("dir/a", [("El pan duro", "era un ladrillo")])), quote, ask, propose)
+    assert (first["exit"], first["finished"], first["jokes"]) == (runs.SOME_FAILED, 1, 1)
+    again = runs.historic(store, named(("dir/a#b.docx", [("Va bien", "la cosa")]), ("dir/a", [("El pan duro", "era un ladrillo")])), quote, ask, propose)
+    assert (again["exit"], again["finished"], again["jokes"]) == (runs.OK, 1, 1)
+
+
+def test_replay_asks_once(spark, tmp_path):
+    """A model that answers otherwise each time: what is counted is what is marked."""
+    store = Store(spark, f"file://{tmp_path}/store")
+    rows = spark.createDataFrame([(k, "x") for k in range(200)], "id long, texto string")
+    out = updates.replay(store, rows, lambda df: df.select("id", F.when(F.rand() < 0.5, "no").alias("error")))
+    assert out["procesados"] == 200 - store.unprocessed(rows, "bronze", "chistes_telegram").count() and out["procesados"] + out["fallidos"] == 200
+
+
 def test_pending_messages(spark, tmp_path):
     store = stored(spark, tmp_path)
     runs.historic(store, coloured(spark, (1, [("El tren salía", "sin vías")])), quote, ask, propose)

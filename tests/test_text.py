@@ -130,3 +130,10 @@ def test_nfc(spark):
 
     rows = spark.createDataFrame([("é",), (None,), ("a",)], "t string").select(nfc("t").alias("x")).collect()
     assert [r.x for r in rows] == ["é", None, "a"]
+
+
+@pytest.mark.parametrize("raw, clean", [
+    ("a,,,b", "A,,b."), ("a , , , b", "A,, b."), (",,a,,", "A."), (" ,. ", "."), (", ,", ""), ("", ""), ("a  b\u00a0\u00a0c\nd", "A b c\nd."), ("a , b ! c", "A, b! c."), ("a,,,,b  .", "A,,b."), ("é", "É."), ("3 a", "3 a."),
+])
+def test_tidied_runs(spark, raw, clean):
+    assert spark.createDataFrame([(raw,)], "t string").select(text.tidied(F.col("t")).alias("t")).first().t == clean
