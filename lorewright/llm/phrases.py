@@ -156,26 +156,36 @@ def route(batches: Iterator[pa.RecordBatch], sketch: np.ndarray, size: int = CHU
         out: list[tuple] = []
         cuts = [0, *(np.flatnonzero(np.diff(placed)) + 1).tolist(), len(placed)] if len(placed) else []
         for a, z in zip(cuts, cuts[1:], strict=False):
+            place, pivot = int(placed[a]), pivots[a]
+            salts = homes(sketch, place, home)
+            if z - a == 1 and salts == 1:
+                out.append((lang, place, 1, pivot, lefts[a], rights[a], None))
+                continue
+            pairs = list(zip(lefts[a:z], rights[a:z], strict=True))
+            words_of = pivots[a:z]
             # different words may share a place
-            for pivot in {pivots[a]} if z - a == 1 else set(pivots[a:z]):
-                found = Counter((x, y) for w, x, y in zip(pivots[a:z], lefts[a:z], rights[a:z], strict=True) if w == pivot)
-                place = int(placed[a])
-                salts = homes(sketch, place, home)
-                dealt_to: dict[int, list] = {}
+            for pivot in (pivot,) if words_of.count(pivot) == z - a else set(words_of):
+                own = pairs if len(words_of) == words_of.count(pivot) else [p for w, p in zip(words_of, pairs, strict=True) if w == pivot]
+                found = dict.fromkeys(own, 1)
+                if len(found) < len(own):
+                    found = Counter(own)
+                dealt_to: dict[int, list] = {} if salts > 1 else {0: list(found)}
                 for pair in found if salts > 1 else ():
                     dealt_to.setdefault(zlib.crc32(b"\t".join(pair)) % salts, []).append(pair)
-                for salt, some in dealt_to.items() if salts > 1 else ((0, list(found)),):
+                for salt, some in dealt_to.items():
                     for row in rows_of(some):
-                        out.append((lang, place + salt, salts, pivot, row, found))
+                        counts = None if len(found) == len(own) else np.fromiter(map(found.__getitem__, row), np.int64, len(row)).tobytes()
+                        x, y = zip(*row, strict=True)
+                        out.append((lang, place + salt, salts, pivot, b"\n".join(x), b"\n".join(y), counts))
         if out:
-            pairs = [list(zip(*x[4], strict=True)) for x in out]
-            counts = [None if len(x[5]) == x[5].total() else np.fromiter(map(x[5].__getitem__, x[4]), np.int64, len(x[4])).tobytes() for x in out]
-            columns = [*([x[k] for x in out] for k in range(4)), *([b"\n".join(p[side]) for p in pairs] for side in (0, 1)), counts]
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, ROUTED.types, strict=True)], schema=ROUTED)
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), ROUTED.types, strict=True)], schema=ROUTED)
 
 
 def rows_of(pairs: list[tuple[bytes, bytes]]) -> Iterator[list[tuple[bytes, bytes]]]:
     """`pairs` in parts of about ROW_BYTES."""
+    if sum(len(x) + len(y) for x, y in pairs) <= ROW_BYTES:
+        yield pairs
+        return
     held, begin = 0, 0
     for k, (x, y) in enumerate(pairs):
         held += len(x) + len(y)
@@ -246,12 +256,16 @@ def mine(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
     """(lang, phrase, a, part) of rows of route() sorted by HOMES: the n-grams that each pivot owns and its home holds `least` times; those of a pivot with several homes are part of a count."""
     out: list[tuple[str, dict[bytes, int], bool]] = []
 
+    made = 0
+
     def closed(pivot: Pivot) -> None:
+        nonlocal made
         lang, _, salts, _ = pivot.key
         if salts > 1 or pivot.lefts.total() >= least:
             found = pivot.grams(1 if salts > 1 else least)
             if found:
                 out.append((lang, found, salts > 1))
+                made += len(found)
 
     def rows() -> pa.RecordBatch:
         grams = pa.array([g for x in out for g in x[1]], pa.binary()).cast(pa.string())
@@ -267,8 +281,9 @@ def mine(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
                     closed(now)
                 now = Pivot(*key)
             now.add(lefts, rights, counts)
-            if sum(len(x[1]) for x in out) > 20_000:
+            if made > 20_000:
                 yield rows()
+                made = 0
     if now:
         closed(now)
     yield rows()
