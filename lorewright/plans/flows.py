@@ -1,6 +1,4 @@
-"""The three flows end to end: theory files, messages, historic documents. Models are injected as column functions or batch functions.
-
-What a model made is cached (it spills to disk, and a lost executor recomputes its part), so no step calls a model twice."""
+"""The theory flow end to end, and its chunks and checks; runs with models and state are in plans.runs."""
 
 from __future__ import annotations
 
@@ -10,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorewright.functions import language, text
-from lorewright.operators import cost, fragments, marking, reconcile, relational, taxonomy, transcripts, validate
+from lorewright.operators import fragments, relational, transcripts, validate
 from lorewright.sources import files
 from lorewright.sources.store import BRONZE, Store
 
@@ -70,45 +68,3 @@ def validation(store: Store) -> DataFrame:
     bronze = store.read("bronze", "teoria_documentos", BRONZE)
     found = validate.content_checks(parsed).unionByName(validate.has_bronze(silver, bronze)).unionByName(validate.unique_keys(silver, "claves_unicas"))
     return validate.summary(found, (*validate.CONTENT_CHECKS, "silver_tiene_bronze_teoria", "claves_unicas"))
-
-
-def structured(jokes: DataFrame, topics: DataFrame, techniques: DataFrame, answers: Callable[[DataFrame], DataFrame], embed: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
-    """(facts of jokes (key, texto), queued candidates): `answers` gives texto_normalizado, tema, estructura, estado, sugerencias and three proposals for topic and technique."""
-    told = answers(jokes)
-    topic, queue_a = taxonomy.resolve(told.withColumn("texto", F.col("tema")), topics, ["tema_1", "tema_2", "tema_3"], kind="tema")
-    technique, queue_b = taxonomy.resolve(told.withColumn("texto", F.col("estructura")), techniques, ["tecnica_1", "tecnica_2", "tecnica_3"], kind="tecnica")
-    facts = told.join(topic.select("key", F.col("id").alias("tema_id")), "key").join(technique.select("key", F.col("id").alias("tecnica_id")), "key")
-    facts = facts.select("key", F.col("texto_normalizado").alias("texto"), embed(F.col("texto_normalizado")).alias("embedding"), text.in_closed_set(F.col("estado"), reconcile.JOKE_STATES, "estado").alias("estado"), "tema_id", "tecnica_id", "estructura", "sugerencias")
-    return facts, queue_a.unionByName(queue_b)
-
-
-def historic(runs: DataFrame, jokes: DataFrame, topics: DataFrame, techniques: DataFrame, answers, quote: Callable[[Column], Column], embed=hashed_vector, token_limit: int = cost.TOKEN_LIMIT) -> dict[str, DataFrame]:
-    """Coloured runs to routed jokes: mark, guard, gate, segment, structure, reconcile, route.
-
-    Documents that fail the guard are in "failed". If the gate refuses, only "gate" and "failed" are returned and no model is called.
-    """
-    marked = marking.marked_text(runs)
-    bad = marking.round_trip(runs, marked).where("not ok").select("doc_id").distinct()
-    good = marked.join(bad, "doc_id", "left_anti")
-    gate = cost.gate(cost.estimate(good), token_limit)
-    if not gate.first().permitir:
-        return {"gate": gate, "failed": bad}
-    windows = marking.cut_setups(marking.segment(good).withColumn("inicio", quote(F.col("ventana"))))
-    windows = windows.cache()
-    rows = windows.select(F.concat_ws("#", F.col("doc_id").cast("string"), F.lpad(F.col("pos").cast("string"), 6, "0")).alias("key"), "texto")
-    facts, queue = structured(rows, topics, techniques, answers, embed)
-    facts = facts.cache()
-    stored = reconcile.candidates(jokes, reconcile.JOKE_KINDS)
-    decided = reconcile.decide(facts.select("key", "texto", "embedding"), stored).cache()
-    after, revisions = reconcile.route(jokes, decided, facts, "propio_historico")
-    after = after.cache()
-    return {"gate": gate, "failed": bad, "windows": windows, "queue": queue, "decided": decided, "jokes": after, "revisions": revisions}
-
-
-def messages(accepted: DataFrame, jokes: DataFrame, topics: DataFrame, techniques: DataFrame, answers, embed=hashed_vector) -> dict[str, DataFrame]:
-    """Accepted messages (key, texto) to routed jokes; they are reconciled with historic jokes only."""
-    facts, queue = structured(accepted, topics, techniques, answers, embed)
-    facts = facts.cache()
-    decided = reconcile.decide(facts.select("key", "texto", "embedding"), reconcile.candidates(jokes, ("propio_historico",))).cache()
-    after, revisions = reconcile.route(jokes, decided, facts, "propio")
-    return {"queue": queue, "decided": decided, "jokes": after, "revisions": revisions}
