@@ -8,9 +8,10 @@ from lorewright.functions import keys
 from lorewright.operators import cost, relational, temporal, validate
 from lorewright.plans.binding import fragments_sql, load, register, strip_sql
 from lorewright.plans.queries_relational import _MARKED, marked, rendered
-from lorewright.sources import files, listing
+from lorewright.sources import files, folder_stream, listing, versions
 from lorewright.sources.keyed import Keyed
 from lorewright.sources.scratch import Scratch
+from lorewright.sources.statelog import StateLog
 from lorewright.sources.store import Store
 from lorewright.streaming import pending, updates
 
@@ -149,6 +150,72 @@ def pruned_appends(spark, sf_dir):
     return table.read("id long, clave long, texto string")
 
 
+_TURNED = """c AS (SELECT user_id, event_id, event_type, value, ts, floor(event_id * 6 / (SELECT max(event_id) + 1 FROM events))::BIGINT + 1 AS v FROM events QUALIFY row_number() OVER (PARTITION BY user_id, v ORDER BY event_id DESC) = 1),
+t AS (SELECT unnest([2, 3, 5, 6])::BIGINT AS turno),
+s AS (SELECT turno, user_id, arg_max({'x': CASE WHEN event_id % 5 > 0 THEN event_type END}, v) FILTER (event_id % 3 > 0 OR event_id % 5 = 0).x AS event_type, arg_max({'x': CASE WHEN event_id % 5 > 0 THEN value END}, v).x AS value, arg_max(event_id % 5 = 0, v) AS gone, max_by(ts, v) AS updated_at FROM c JOIN t ON v <= turno GROUP BY ALL)"""
+
+
+@query("state_as_of", f"WITH {_TURNED} SELECT turno, user_id, event_type, value, updated_at FROM s WHERE NOT gone")
+def state_as_of(spark, sf_dir):
+    """The state of all users after the second, third, fifth and last of six turns of changes: some set one column, some end a user; a snapshot is taken after the third and the fourth."""
+    e = load(spark, sf_dir, "events")
+    size = e.agg(F.max("event_id") + 1).first()[0]
+    turns = relational.latest(e.withColumn("turno", F.floor(F.col("event_id") * 6 / size) + 1), ["user_id", "turno"], [F.desc("event_id")])
+    k = F.col("event_id")
+    names = F.when(k % 3 == 0, F.array(F.lit("value"))).otherwise(F.array(F.lit("event_type"), F.lit("value")))
+    turns = turns.select("turno", "user_id", "event_type", "value", "ts", (k % 5 == 0).alias("fin"), names.alias("dados"))
+    scratch = Scratch(spark, "state")
+    turns = scratch.write(turns, "turns")
+    table = StateLog(spark, f"{scratch.root}/table", "user_id long, event_type string, value double", "user_id", 8)
+    for n in range(1, 7):
+        table.append(turns.where(F.col("turno") == n).drop("turno"), "ts", "fin", "dados")
+        if n in (3, 4):
+            table.compact()
+    states = [table.as_of(n).withColumn("turno", F.lit(n).cast("long")) for n in (2, 3, 5, 6)]
+    return states[0].unionByName(states[1]).unionByName(states[2]).unionByName(states[3])
+
+
+_PAGES = "p AS (SELECT page_id, 'f' || page_id AS file_id, url AS name, '2024-' || lpad((page_id * 7919 % 1000)::VARCHAR, 4, '0') AS m FROM pages)"
+
+
+@query("folder_snapshots", f"""
+WITH {_PAGES}, u AS (SELECT file_id, name, m, 1 AS toma FROM p WHERE page_id % 3 > 0 UNION ALL SELECT file_id, name, CASE WHEN page_id % 5 = 0 THEN '2025-' || m ELSE m END, 2 FROM p)
+SELECT file_id, name, m AS modified_time, min(toma) AS toma FROM u GROUP BY ALL""")
+def folder_snapshots(spark, sf_dir):
+    """States of all pages as files of a folder that a stream saw in two snapshots: the second lists them again, with late ones and changed ones. A run each."""
+    k = F.col("page_id")
+    time = F.concat(F.lit("2024-"), F.lpad((k * 7919 % 1000).cast("string"), 4, "0"))
+    found = load(spark, sf_dir, "pages").select(k, F.concat(F.lit("f"), k.cast("string")).alias("file_id"), F.col("url").alias("name"), time.alias("modified_time"), F.lit("text/html").alias("mime_type"))
+    root = Scratch(spark, "folder").root
+    spark.dataSource.register(folder_stream.FolderStreamSource)
+    again = found.withColumn("modified_time", F.when(k % 5 == 0, F.concat(F.lit("2025-"), "modified_time")).otherwise(F.col("modified_time")))
+    for n, rows in ((1, found.where(k % 3 > 0)), (2, again)):
+        folder_stream.write_pages(rows, f"{root}/in", n)
+        stream = spark.readStream.format("folder_pages").option("path", f"{root}/in").load()
+        stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(folder_stream.SCHEMA).parquet(f"{root}/out").select("file_id", "name", "modified_time", "toma")
+
+
+@query("versioned_documents", """
+WITH d AS (SELECT doc_id, 'd' || doc_id || '.md' AS nombre, text, len(text) - len(replace(text, chr(10), '')) + 1 AS n FROM documents),
+m AS (SELECT 1 AS version, * FROM d WHERE doc_id % 2 = 0 UNION ALL SELECT 2, * FROM d)
+SELECT version, doc_id, nombre, md5(text) AS md5, n AS num_fragmentos, count(*) OVER (PARTITION BY version) AS documentos, sum(n) OVER (PARTITION BY version)::BIGINT AS fragmentos FROM m""")
+def versioned_documents(spark, sf_dir):
+    """Documents of two versions as they are read back, with what their manifests say."""
+    k = F.col("doc_id")
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
+    docs = load(spark, sf_dir, "documents").select(k, F.concat(F.lit("d"), k.cast("string"), F.lit(".md")).alias("nombre"), F.col("text").alias("contenido"), lines.cast("long").alias("num_fragmentos"))
+    root, out = Scratch(spark, "versions").root, None
+    spark.dataSource.register(versions.VersionSink)
+    for n, rows in ((1, docs.where(k % 2 == 0)), (2, docs)):
+        rows.write.format("corpus_versions").option("path", root).mode("append").save()
+        about = versions.manifest(root, n)
+        facts = [F.lit(about[c]).cast("long").alias(c) for c in ("documentos", "fragmentos")]
+        found = versions.read_version(spark, root, n).select(F.lit(n).alias("version"), "doc_id", "nombre", F.md5("contenido").alias("md5"), "num_fragmentos", *facts)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query("replayed_messages", """
 WITH m AS (SELECT event_id AS id, event_id % 6 AS fallos, least(event_id % 6 + 1, 4) AS n, ts FROM events),
 o AS (SELECT id, CASE WHEN fallos < 4 THEN 'procesado' ELSE 'abandonado' END AS estado, n::INTEGER AS intentos, CASE WHEN fallos >= 4 THEN 'fallo ' || n END AS error, ts + INTERVAL 10 MINUTE * (2 ** (n - 1) - 1)::INTEGER AS resuelto_at FROM m)

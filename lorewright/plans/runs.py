@@ -16,6 +16,7 @@ from lorewright.functions import contracts
 from lorewright.operators import cost, fragments, marking, reconcile, relational, taxonomy, validate
 from lorewright.plans.flows import CHUNKS, SILVER, hashed_vector
 from lorewright.sources import catalog, files
+from lorewright.sources.statelog import StateLog
 from lorewright.sources.store import BRONZE, Store
 
 JOKES = "id string, texto_normalizado string, hash_normalizado string, embedding array<double>, tipo_fuente string, tema_id long, tecnica_id long, estado string, version_actual int"
@@ -32,10 +33,14 @@ def kept(store: Store, rows: DataFrame, name: str) -> DataFrame:
     return store.spark.read.schema(rows.schema).parquet(path)
 
 
+def joke_log(store: Store) -> StateLog:
+    """The joke table as a log of changes: each turn is a version."""
+    return StateLog(store.spark, store.path("gold", "chistes"), JOKES, "id", 16)
+
+
 def jokes_of(store: Store) -> DataFrame:
-    """The joke table as it is now: the last version of each joke."""
-    stored = store.read("gold", "chistes", JOKES + ", turno long")
-    return relational.latest(stored, ["id"], [F.desc("turno"), F.desc("version_actual"), F.asc("hash_normalizado")]).drop("turno")
+    """The joke table as it is now, from its last snapshot and the changes after it."""
+    return joke_log(store).as_of().drop("updated_at")
 
 
 def told(store: Store, rows: DataFrame, ask: Callable[[Column], Column], name: str) -> DataFrame:
@@ -71,10 +76,10 @@ def written(store: Store, rows: DataFrame, ask, propose, kind: str, against: tup
     decided = kept(store, reconcile.decide(facts.select("key", "texto", "embedding"), reconcile.candidates(jokes, against)), f"{name}-decisiones")
     after, revisions = reconcile.route(jokes, decided, facts, kind)
     after = kept(store, after, f"{name}-despues")
-    turn = store.read("gold", "chistes", JOKES + ", turno long").agg(F.coalesce(F.max("turno"), F.lit(0))).first()[0] + 1
     changed = after.join(jokes.select("id", F.col("version_actual").alias("_v")), "id", "left").where(~F.col("_v").eqNullSafe(F.col("version_actual"))).drop("_v")
     store.append_new(revisions.select([c.split()[0] for c in REVISIONS.split(", ")]), "gold", "revisiones", F.struct("chiste_id", "version"), [F.col("contenido")])
-    store.append_new(changed.select([c.split()[0] for c in JOKES.split(", ")]).withColumn("turno", F.lit(turn).cast("long")), "gold", "chistes", F.struct("id", "version_actual"), [F.col("hash_normalizado")])
+    if changed.take(1):
+        joke_log(store).append(changed.select([c.split()[0] for c in JOKES.split(", ")]))
     return decided, answered.where("error is not null").select("key", "error")
 
 
