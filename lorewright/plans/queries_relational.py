@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorewright.functions import markup, vectors
-from lorewright.operators import fragments, marking, reconcile, relational, taxonomy, transcripts, validate
+from lorewright.functions import markup, text, vectors
+from lorewright.operators import fragments, marking, reconcile, relational, sketches, taxonomy, transcripts, validate
 from lorewright.plans.binding import PREFIX, SUBTYPE_SQL, fragments_sql, load, quality_sql, register, words_sql
+from lorewright.sources.keyed import Keyed
+from lorewright.sources.scratch import Scratch
 
 QUERIES: dict = {}
 query = lambda name, sql=None: register(QUERIES, name, sql)
@@ -160,6 +162,30 @@ def version_stats(spark, sf_dir):
     return found.withColumns({c: F.round(c, 6) for c in ("media", "minimo", "maximo")})
 
 
+@query("merged_statistics", f"""
+WITH {fragments_sql()}, q AS (SELECT doc_id, {quality_sql('w')} AS q FROM (SELECT doc_id, {words_sql('texto')} AS w FROM frag))
+SELECT unnest(['documentos', 'textos', 'rango 0.1', 'rango 0.5', 'rango 0.9']) AS medida, n AS num_fragmentos, round(media, 6) AS media, round(minimo, 6) AS minimo, round(maximo, 6) AS maximo, true AS dentro
+FROM (SELECT count(*) AS n, coalesce(avg(q), 0) AS media, coalesce(min(q), 0) AS minimo, coalesce(max(q), 0) AS maximo FROM q)""")
+def merged_statistics(spark, sf_dir):
+    """A version's statistics from the stored rows of ten batches, seven of them offered twice, and whether each estimate is within its bound of the exact figure."""
+    found = fragments.split_documents(load(spark, sf_dir, "documents")).select("doc_id", "texto")
+    scratch = Scratch(spark, "sketches")
+    table, batch, ranks = Keyed(spark, f"{scratch.root}/table"), F.col("doc_id") % 10, (0.1, 0.5, 0.9)
+    sketches.stored(table, found.where(batch < 7), batch)
+    sketches.stored(table, found, batch)
+    got = scratch.write(sketches.merged(table.read(sketches.COLUMNS), ranks), "merged")
+    texts = found.groupBy("texto").agg(F.count(F.lit(1)).alias("n"), F.coalesce(text.quality(F.col("texto")), F.lit(0.0)).alias("q"))
+    near = lambda c, n: F.abs(F.col(c) - F.col(n)) <= F.col(n) * sketches.DISTINCT_BOUND
+    below = [F.sum(F.when(F.col("q") < F.col("cuantiles")[k], F.col("n")).otherwise(0)).alias(f"l{k}") for k in range(3)]
+    upto = [F.sum(F.when(F.col("q") <= F.col("cuantiles")[k], F.col("n")).otherwise(0)).alias(f"h{k}") for k in range(3)]
+    exact = texts.crossJoin(F.broadcast(got.select("cuantiles"))).agg(F.count(F.lit(1)).alias("textos"), F.sum("n").alias("all"), *below, *upto)
+    whole = got.crossJoin(F.broadcast(exact)).crossJoin(F.broadcast(found.agg(F.countDistinct("doc_id").alias("documentos"))))
+    inside = lambda k, r: (F.col(f"l{k}") / F.col("all") - sketches.RANK_BOUND <= r) & (F.col(f"h{k}") / F.col("all") + sketches.RANK_BOUND >= r)
+    verdicts = [("documentos", near("num_documentos", "documentos")), ("textos", near("num_textos", "textos")), *[(f"rango {r}", inside(k, r)) for k, r in enumerate(ranks)]]
+    rows = whole.select("num_fragmentos", *[F.round(c, 6).alias(c) for c in ("media", "minimo", "maximo")], F.explode(F.array(*[F.struct(F.lit(n).alias("medida"), ok.alias("dentro")) for n, ok in verdicts])).alias("x"))
+    return rows.select("x.medida", "num_fragmentos", "media", "minimo", "maximo", "x.dentro")
+
+
 @query("silver_summary", f"""
 WITH {fragments_sql()}, q AS (SELECT f.doc_id, pos, d.lang, {SUBTYPE_SQL} <> 'ejemplo' AND d.lang <> 'es' AS t, {words_sql('texto')} AS w FROM frag f JOIN documents d USING (doc_id))
 SELECT doc_id, round(avg({quality_sql('w')}), 6) AS quality_score, bool_or(t) AS traducido, arg_min(lang, pos) AS idioma_original, count(*) AS num_fragmentos FROM q GROUP BY doc_id""")

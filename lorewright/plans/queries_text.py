@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorewright.functions import keys, text
-from lorewright.operators import fragments
+from lorewright.operators import fragments, profiles
 from lorewright.plans.binding import (
     PREFIX, RUNS, SUBTYPE_SQL, WORD, clause_sql, cleaned_sql, filler_sql, fragments_sql, load, quality_sql, register, repeats_sql, strip_sql, tidy_sql, words_sql,
 )
@@ -242,3 +242,19 @@ def language_detect(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", detected(F.col("text")).alias("lang"))
 
 
+_GRAMS = """w AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\\p{L}{1,64}')) AS w FROM documents), g AS (SELECT doc_id, lang, w, unnest(range(1, length(w) + 1)) AS k FROM w),
+gram AS (SELECT doc_id, lang, substr(' ' || w || ' ', k, 3) AS gram FROM g)"""
+
+
+@query("language_profiles", f"""
+WITH {_GRAMS}, a AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) - 1 AS p FROM gram WHERE lang IS NOT NULL AND doc_id % 5 <> 0 GROUP BY lang, gram QUALIFY p < 400),
+d AS (SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, gram) - 1 AS p FROM gram GROUP BY doc_id, gram QUALIFY p < 400),
+n AS (SELECT doc_id, count(*) * 400 AS most FROM d GROUP BY doc_id), l AS (SELECT DISTINCT lang FROM a),
+h AS (SELECT doc_id, a.lang, sum(400 - abs(d.p - a.p)) AS s FROM d JOIN a USING (gram) GROUP BY ALL),
+x AS (SELECT n.doc_id, l.lang, coalesce(s, 0) AS s, floor((most - coalesce(s, 0)) * 1000000 / most)::BIGINT AS z, s IS NOT NULL AS hit, row_number() OVER (PARTITION BY n.doc_id ORDER BY coalesce(s, 0) DESC, s IS NULL, l.lang) AS r FROM n CROSS JOIN l LEFT JOIN h ON h.doc_id = n.doc_id AND h.lang = l.lang),
+b AS (SELECT doc_id, max(lang) FILTER (r = 1 AND hit) AS lang, max(z) FILTER (r = 1) AS distancia, max(z) FILTER (r = 2) AS segunda FROM x GROUP BY doc_id)
+SELECT documents.doc_id, CASE WHEN b.lang IS NOT NULL AND coalesce(segunda - distancia >= 10000, true) THEN b.lang ELSE 'und' END AS lang, distancia, segunda FROM documents LEFT JOIN b USING (doc_id)""")
+def language_profiles(spark, sf_dir):
+    """Each document's language by the trigram profiles of four documents of five."""
+    docs = load(spark, sf_dir, "documents")
+    return profiles.detected(docs, profiles.learned(docs.where("doc_id % 5 <> 0")))
