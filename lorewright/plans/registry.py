@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from lorewright.operators import fragments
-from lorewright.plans import queries_flows, queries_relational, queries_text
+from lorewright.plans import queries_flows, queries_relational, queries_runs, queries_text
 from lorewright.plans.binding import SUBTYPE_SQL, cleaned_sql, fragments_sql, quality_sql, words_sql
 
-MODULES = (queries_text, queries_relational, queries_flows)
+MODULES = (queries_text, queries_relational, queries_flows, queries_runs)
 
 
 def flagship(spark, sf_dir):
