@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorewright.functions.language import UNDETERMINED
@@ -11,11 +11,16 @@ from lorewright.functions.language import UNDETERMINED
 SIZE, PIECE, BROADCAST = 400, 64, 1_000_000
 
 
-def trigrams(text: Column) -> Column:
-    """Trigrams of the lower-cased runs of letters, each with a blank on both sides; a run of over PIECE letters counts as pieces."""
-    runs = F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{1,{PIECE}}}"), F.lit(0))
-    cut = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda k: F.substr(F.concat(F.lit(" "), w, F.lit(" ")), k, F.lit(3)))
-    return F.flatten(F.transform(runs, cut))
+def trigrams(rows: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, gram, n): trigrams of the lower-cased runs of letters, each with a blank on both sides; a run of over PIECE letters counts as pieces.
+
+    Runs are counted first and cut after, so that a frequent word is cut once for each key.
+    """
+    runs = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(rf"\p{{L}}{{1,{PIECE}}}"), F.lit(0))
+    words = rows.select(key, F.explode(runs).alias("_w")).groupBy(key, "_w").agg(F.count(F.lit(1)).alias("_n"))
+    padded = words.select(key, F.concat(F.lit(" "), "_w", F.lit(" ")).alias("_w"), "_n")
+    cut = padded.select(key, "_w", "_n", F.explode(F.sequence(F.lit(1), F.length("_w") - 2)).alias("_k"))
+    return cut.groupBy(key, F.substr("_w", F.col("_k"), F.lit(3)).alias("gram")).agg(F.sum("_n").alias("n"))
 
 
 def ranked(counts: DataFrame, key: str, size: int) -> DataFrame:
@@ -29,8 +34,8 @@ def learned(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", siz
 
     Counts are combined before they are exchanged, so a language with a third of all rows is as many rows as it has trigrams.
     """
-    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-    return ranked(rows.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "lang", size)
+    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text"))
+    return ranked(trigrams(rows, "lang", "_text"), "lang", size)
 
 
 def detected(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, margin: float = 0.01) -> DataFrame:
@@ -45,17 +50,16 @@ def detected(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
     joined by trigram beyond.
     """
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).repartition("_id")
-    grams = own.select("_id", F.explode_outer(trigrams(F.col("_text"))).alias("gram"))
-    mine = ranked(grams.groupBy("_id", "gram").agg(F.count("gram").alias("n")).where("gram is not null"), "_id", size)
+    mine = ranked(trigrams(own, "_id", "_text"), "_id", size).withColumn("most", F.count(F.lit(1)).over(Window.partitionBy("_id")) * size)
     about = profiles.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("lang").alias("langs")).first()
     table = profiles.select("lang", "gram", F.col("puesto").alias("_p"))
     hits = mine.join(F.broadcast(table) if about.rows <= BROADCAST else table, "gram", "left")
     # what a shared trigram saves against one that the language lacks; the row without a language has the trigrams that none has
-    saved = hits.groupBy("_id", "lang").agg(F.sum(F.lit(size) - F.abs(F.col("puesto") - F.col("_p"))).alias("s"))
-    tops = saved.where("lang is not null").groupBy("_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("s")).alias("s"), "lang"))).alias("x"))
-    most = mine.groupBy("_id").agg((F.count(F.lit(1)) * size).alias("most"))
+    saved = hits.groupBy("_id", "lang").agg(F.sum(F.lit(size) - F.abs(F.col("puesto") - F.col("_p"))).alias("s"), F.max("most").alias("most"))
+    each = F.when(F.col("lang").isNotNull(), F.struct((-F.col("s")).alias("s"), "lang"))
+    tops = saved.groupBy("_id").agg(F.sort_array(F.collect_list(each)).alias("x"), F.max("most").alias("most"))
     ids = docs.select(F.col(id_col).alias("_id")).distinct()
-    found = null_safe(null_safe(ids, most), tops)
+    found = null_safe(ids, tops)
     share = lambda s: F.floor((F.col("most") - s) * F.lit(1_000_000) / F.col("most")).cast("long")
     nth = lambda k: F.coalesce(-F.get("x", F.lit(k))["s"], F.lit(0))
     second = share(nth(1)) if about.langs > 1 else F.lit(None).cast("long")
