@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +102,12 @@ def content_checks(parsed: DataFrame) -> DataFrame:
 
     Six of them look at one document each, so one pass makes all their failures; only duplicates need an exchange.
     """
+    return document_checks(parsed).unionByName(no_duplicates(parsed))
+
+
+def document_checks(parsed: DataFrame, checks: Sequence[str] | None = None) -> DataFrame:
+    """Those of `checks` (all, if None) that look at one parsed document each, in one pass."""
+    asked = lambda name: checks is None or name in checks
     none = F.array().cast("array<struct<check: string, detail: string>>")
 
     def one(check: str, detail: Column) -> Column:
@@ -112,7 +120,7 @@ def content_checks(parsed: DataFrame) -> DataFrame:
         return F.array_except(F.array(*map(F.lit, keys)), F.coalesce(F.map_keys(m), F.array().cast("array<string>")))
 
     def bounds(n: Column) -> Column:
-        return F.concat(when(n < documents.LEAST_WORDS, "min_palabras", n), when(n > documents.MOST_WORDS, "max_palabras", n))
+        return F.concat(*[when(bad, name, n) for bad, name in ((n < documents.LEAST_WORDS, "min_palabras"), (n > documents.MOST_WORDS, "max_palabras")) if asked(name)])
 
     def header(missing: Column) -> Column:
         return when(F.size(missing) > 0, "cabecera_completa", F.array_join(missing, ","))
@@ -127,17 +135,20 @@ def content_checks(parsed: DataFrame) -> DataFrame:
 
         return F.concat(of("idioma_original"), of("idioma_fragmento"))
 
-    each = F.flatten(F.transform("fragmentos_meta", lambda f, k: F.concat(fields(f, k), languages(f, k))))
-    found = F.concat(
-        when(F.col("contenido").rlike(TIMESTAMP), "sin_timestamps", F.regexp_extract("contenido", TIMESTAMP, 0)),
-        when(F.col("contenido").rlike(SPEAKER), "sin_speaker_tags", F.regexp_extract("contenido", SPEAKER, 0)),
-        bound(lacking(F.col("metadatos"), documents.DOCUMENT_KEYS), header),
-        when(F.size("fragmentos_meta") == 0, "cabecera_completa", F.lit("fragmentos")),
-        bound(documents.word_count(F.col("cuerpo")), bounds),
-        F.coalesce(each, none),
-    )
-    rows = parsed.select(F.col("path").cast("string").alias("key"), F.explode(found).alias("x")).select("x.check", "key", "x.detail")
-    return rows.unionByName(no_duplicates(parsed))
+    def each(f: Column, k: Column) -> Column:
+        return F.concat(*[of(f, k) for of, name in ((fields, "cabecera_completa"), (languages, "idiomas_permitidos")) if asked(name)])
+
+    found = []
+    for name, pattern in (("sin_timestamps", TIMESTAMP), ("sin_speaker_tags", SPEAKER)):
+        if asked(name):
+            found.append(when(F.col("contenido").rlike(pattern), name, F.regexp_extract("contenido", pattern, 0)))
+    if asked("cabecera_completa"):
+        found += [bound(lacking(F.col("metadatos"), documents.DOCUMENT_KEYS), header), when(F.size("fragmentos_meta") == 0, "cabecera_completa", F.lit("fragmentos"))]
+    if asked("min_palabras") or asked("max_palabras"):
+        found.append(bound(documents.word_count(F.col("cuerpo")), bounds))
+    if asked("cabecera_completa") or asked("idiomas_permitidos"):
+        found.append(F.coalesce(F.flatten(F.transform("fragmentos_meta", each)), none))
+    return parsed.select(F.col("path").cast("string").alias("key"), F.explode(F.concat(*found)).alias("x")).select("x.check", "key", "x.detail")
 
 
 def summary(found: DataFrame, checks: tuple[str, ...]) -> DataFrame:

@@ -386,7 +386,7 @@ def header_check(spark, sf_dir):
     from lorewright.operators.fragments import parse_documents
 
     p = parse_documents(rendered(spark, sf_dir)).withColumn("path", F.col("doc_id").cast("string"))
-    return validate.word_bounds(p).unionByName(validate.allowed_languages(p)).unionByName(validate.complete_header(p)).unionByName(validate.no_timestamps(p))
+    return validate.document_checks(p, ("min_palabras", "max_palabras", "idiomas_permitidos", "cabecera_completa", "sin_timestamps"))
 
 
 QUERIES["header_check"] = (header_check, f"""
