@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import in_closed_set, strip
+from .text import bound, in_closed_set, strip
 
 #: Kinds of source, default licence, header keys, languages and word counts that pass validation.
 SOURCE_KINDS = ("teoria", "transcripcion_curso")
@@ -42,9 +42,13 @@ def rendered(fragments: Column, source: Column, kind: Column, author: Column, li
 
 def unscalar(value: Column) -> Column:
     """Inverse of scalar() but for a backslash before a quote; what isn't quoted stays as it is."""
-    v = strip(value)
-    inner = F.replace(F.replace(F.substr(v, F.lit(2), F.length(v) - 2), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
-    return F.when(v == "null", F.lit(None).cast("string")).when(v.rlike('(?s)^".*"$') & (F.length(v) >= 2), inner).otherwise(v)
+
+    def read(v: Column) -> Column:
+        inner = F.replace(F.replace(F.substr(v, F.lit(2), F.length(v) - 2), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
+        quoted = F.startswith(v, F.lit('"')) & F.endswith(v, F.lit('"')) & (F.length(v) >= 2)
+        return F.when(v == "null", F.lit(None).cast("string")).when(quoted, inner).otherwise(v)
+
+    return bound(strip(value), read)
 
 
 def parts(content: Column) -> Column:
@@ -57,11 +61,17 @@ def parts(content: Column) -> Column:
 
 def pairs(lines: Column) -> Column:
     """map of `key: value` lines; lines without a colon are left out and of equal keys the last counts."""
-    good = F.filter(lines, lambda x: F.locate(":", x) > 0)
-    keys = F.transform(good, lambda x: strip(F.substring_index(x, ":", 1)))
-    last = F.filter(F.transform(good, lambda x, k: F.struct(k.alias("k"), x.alias("x"))), lambda e: ~F.array_contains(F.slice(keys, e["k"] + 2, F.greatest(F.size(keys) - e["k"], F.lit(0))), strip(F.substring_index(e["x"], ":", 1))))
-    value = lambda x: F.substr(x, F.locate(":", x) + 1)
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(strip(F.substring_index(e["x"], ":", 1)).alias("key"), unscalar(value(e["x"])).alias("value"))))
+    good = F.transform(F.filter(lines, lambda x: F.locate(":", x) > 0), lambda x: F.struct(strip(F.substring_index(x, ":", 1)).alias("key"), F.substr(x, F.locate(":", x) + 1).alias("x")))
+    value = lambda found: F.map_from_entries(F.transform(found, lambda e: F.struct(e["key"].alias("key"), unscalar(e["x"]).alias("value"))))
+
+    def last(found: Column, keys: Column) -> Column:
+        return F.filter(found, lambda e, k: ~F.array_contains(F.slice(keys, k + 2, F.greatest(F.size(keys) - k, F.lit(0))), e["key"]))
+
+    def distinct(found: Column) -> Column:
+        # keys as a list are worked out once, and places are compared only where a key repeats
+        return bound(found["key"], lambda keys: value(F.when(F.size(F.array_distinct(keys)) == F.size(keys), found).otherwise(last(found, keys))))
+
+    return bound(good, distinct)
 
 
 def header_fields(head: Column) -> Column:
@@ -71,11 +81,11 @@ def header_fields(head: Column) -> Column:
 
 
 def header_fragments(head: Column) -> Column:
-    """The fragments' fields of a header: an array of maps."""
+    """The fragments' fields of a header: an array of maps. Lines need no strip of their own: keys and values are stripped."""
     whole = F.concat(F.lit("\n"), head)
     after = F.when(F.locate("\nfragmentos:", whole) > 0, F.substr(whole, F.locate("\nfragmentos:", whole) + 12)).otherwise("")
     items = F.slice(F.split(after, "\n  - ", -1), 2, 1_000_000_000)
-    return F.transform(items, lambda x: pairs(F.transform(F.filter(F.split(x, "\n", -1), lambda y: strip(y) != ""), strip)))
+    return F.transform(items, lambda x: pairs(F.split(x, "\n", -1)))
 
 
 def chunks(content: Column) -> Column:

@@ -142,9 +142,10 @@ FROM r JOIN l USING (doc_id) JOIN documents d ON d.doc_id = r.doc_id GROUP BY r.
 def parse_yaml(spark, sf_dir):
     """Fields read back from rendered documents."""
     p = fragments.parse_documents(rendered(spark, sf_dir))
-    f = F.explode("fragmentos_meta").alias("f")
-    each = p.select("doc_id", "metadatos", f).select("doc_id", F.try_element_at("metadatos", F.lit("fuente")).alias("fuente"), F.try_element_at("metadatos", F.lit("autor")).alias("autor"), F.try_element_at("f", F.lit("subtipo")).alias("s"), F.try_element_at("f", F.lit("idioma_fragmento")).alias("i"))
-    return each.groupBy("doc_id", "fuente", "autor").agg(F.count(F.lit(1)).alias("fragmentos"), F.count_if(F.col("s") == "ejemplo").alias("ejemplos"), F.min("i").alias("idioma"))
+    each = lambda name: F.transform("fragmentos_meta", lambda f: F.try_element_at(f, F.lit(name)))
+    of = lambda name: F.try_element_at("metadatos", F.lit(name)).alias(name)
+    examples = F.size(F.filter(each("subtipo"), lambda s: s == "ejemplo")).cast("long")
+    return p.select("doc_id", of("fuente"), of("autor"), F.size("fragmentos_meta").cast("long").alias("fragmentos"), examples.alias("ejemplos"), F.array_min(each("idioma_fragmento")).alias("idioma"))
 
 
 @query("chunk_body", f"WITH {_RENDER.lstrip()}, c AS (SELECT doc_id, string_split(trim(string_agg(texto, chr(10) || chr(10) ORDER BY pos), chr(10)), chr(10) || chr(10)) AS l FROM l GROUP BY doc_id) SELECT doc_id, unnest(l) AS chunk, (generate_subscripts(l, 1) - 1)::INTEGER AS chunk_index FROM c")
