@@ -9,6 +9,8 @@ from lorewright.functions.language import UNDETERMINED
 
 #: Trigrams of a profile; letters of a run that are one piece; profile rows up to which the table is broadcast.
 SIZE, PIECE, BROADCAST = 400, 64, 1_000_000
+#: Bytes of text that a task counts: its trigrams take about sixty times as much memory.
+TASK_BYTES = 4 << 20
 
 
 def trigrams(rows: DataFrame, key: str, text_col: str) -> DataFrame:
@@ -46,10 +48,12 @@ def detected(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
     best distance is the greatest possible one, and where the next best is closer than `margin`; a lone profile needs no margin. Equal distances give the first name, which a
     margin over 0 leaves to "und". Rows that share an id are one document; a null id is an id like any other.
 
-    Texts are exchanged once, by id; counting, ranking and adding up follow in place. Profiles are a bounded table; they are broadcast up to BROADCAST rows and
+    Texts are exchanged once, by id, into as many parts as there are TASK_BYTES of them, so that a task's memory doesn't grow with the input; counting, ranking and
+    adding up follow in place. Profiles are a bounded table; they are broadcast up to BROADCAST rows and
     joined by trigram beyond.
     """
-    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).repartition("_id")
+    held = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).repartition(max(1, -(-held // TASK_BYTES)), "_id")
     mine = ranked(trigrams(own, "_id", "_text"), "_id", size).withColumn("most", F.count(F.lit(1)).over(Window.partitionBy("_id")) * size)
     about = profiles.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("lang").alias("langs")).first()
     table = profiles.select("lang", "gram", F.col("puesto").alias("_p"))

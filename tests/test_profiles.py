@@ -59,3 +59,14 @@ def test_few_or_no_languages(spark):
     assert profiles.detected(df.where("false"), profiles.learned(df)).count() == 0
     both = profiles.learned(spark.createDataFrame([("a", "same"), ("b", "same")], "lang string, text string"))
     assert profiles.detected(spark.createDataFrame([(1, "same")], "doc_id long, text string"), both).first().lang == "und"
+
+
+def test_parts_grow_with_the_texts(spark, monkeypatch):
+    df = spark.createDataFrame([(k, "en" if k % 2 else "es", "the of and " * 10 if k % 2 else "los del que " * 10) for k in range(40)] + [(None, None, None)], "doc_id long, lang string, text string")
+    table = profiles.learned(df)
+    whole = sorted(map(str, profiles.detected(df, table).collect()))
+    monkeypatch.setattr(profiles, "TASK_BYTES", 300)
+    cut = profiles.detected(df, table)
+    parts = -(-sum(len(r.text or "") for r in df.collect()) // 300)
+    assert "hashpartitioning(_id#" in cut._jdf.queryExecution().toString() and f", {parts})" in cut._jdf.queryExecution().toString()
+    assert sorted(map(str, cut.collect())) == whole and len(whole) == 41
