@@ -68,47 +68,77 @@ class Cells:
 
         kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
         table = scratch.write(rows.mapInPandas(placed, f"{kinds}, cell int, away double"), f"{name}-cells")
-        # one row a cell, CENTROIDS at most
+        # one row a cell, CENTROIDS at most; small cells share a block, a large one has blocks of its own
         held = table.groupBy("cell").agg(F.max("away").alias("radius"), F.count(F.lit(1)).alias("n")).orderBy("cell").collect()
         cells = np.array([r.cell for r in held], np.int64)
-        self.routes = spark.sparkContext.broadcast((points[cells] if len(cells) else points[:0], np.array([r.radius for r in held]), np.array([-(-r.n // BLOCK) for r in held], np.int64), cells))
-        parts = spark.createDataFrame([(int(r.cell), int(-(-r.n // BLOCK))) for r in held], "cell int, parts long")
-        self.table = table.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64(F.col("id").cast("string")), F.col("parts")).cast("int")).drop("parts")
+        blocks, room = [], 0
+        for r in held:
+            if r.n > room:
+                blocks.append(blocks[-1] + 1 if blocks else 0)
+                room = max(BLOCK - r.n, 0)
+            else:
+                blocks.append(blocks[-1])
+                room -= r.n
+        parts = [-(-r.n // BLOCK) for r in held]
+        first = np.unique(np.array(blocks, np.int64), return_index=True)[1]
+        self.routes = spark.sparkContext.broadcast((points[cells] if len(cells) else points[:0], np.array([r.radius for r in held]), first, np.array(parts, np.int64)[first], cells))
+        placing = spark.createDataFrame([(int(r.cell), b, int(p)) for r, b, p in zip(held, blocks, parts, strict=True)], "cell int, block int, parts long")
+        self.table = table.join(F.broadcast(placing), "cell").withColumn("part", F.pmod(F.xxhash64(F.col("id").cast("string")), F.col("parts")).cast("int")).drop("parts")
 
     def met(self, queries: DataFrame, search, schema: str, which: str = "all") -> DataFrame:
-        """What search(rows, queries) gives for each block and the queries (id, u, reach, and others) that may find a row within `reach` of them in it.
+        """What search(rows, queries) gives for each cell of each block and the queries (id, u, reach, and others) that may find a row within `reach` of them in it.
 
-        search has the block's rows in the order of `away` and queries with `from_centre`. which: "first" sends a query to its nearest cell alone, "rest" to the others.
+        search has the cell's rows in the order of `away` and queries with `from_centre`. which: "first" sends a query to its nearest cell alone, "rest" to the others. A
+        query is sent to a block once, however many cells it opens there.
         """
         routes = self.routes
 
+        def opened(d: np.ndarray, home: np.ndarray, numbers: np.ndarray, radius: np.ndarray, reach: np.ndarray) -> np.ndarray:
+            """Which queries (rows of `d`, the distances to the centres of cells `numbers`) open which cells."""
+            own = home[:, None] == numbers
+            if which == "first":
+                return own
+            near = d - radius <= reach[:, None] + SLACK
+            return near & ~own if which == "rest" else near
+
         def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            points, radius, parts, cells = routes.value
+            points, radius, first, parts, cells = routes.value
             for batch in batches:
                 for begin in range(0, len(batch), 256):
                     some = batch.iloc[begin : begin + 256]
                     d = apart(np.stack(some["u"].to_numpy()), points)
-                    nearest = np.arange(len(cells)) == d.argmin(axis=1)[:, None]
-                    wanted = nearest if which == "first" else d - radius <= some["reach"].to_numpy()[:, None] + SLACK
-                    row, column = np.nonzero(wanted & ~nearest if which == "rest" else wanted)
-                    times = parts[column]
-                    row, column = np.repeat(row, times), np.repeat(column, times)
+                    home = d.argmin(axis=1)
+                    wanted = opened(d, home, np.arange(len(cells)), radius, some["reach"].to_numpy())
+                    row, block = np.nonzero(np.logical_or.reduceat(wanted, first, axis=1))
+                    times = parts[block]
+                    row, block = np.repeat(row, times), np.repeat(block, times)
                     part = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                    yield some.iloc[row].assign(cell=cells[column].astype(np.int32), part=part.astype(np.int32), from_centre=d[row, column])
+                    for at in range(0, len(row), BLOCK):
+                        k = slice(at, at + BLOCK)
+                        yield some.iloc[row[k]].assign(block=block[k].astype(np.int32), part=part[k].astype(np.int32), home=home[row[k]].astype(np.int32))
 
         kinds = ", ".join(f"{n} {t}" for n, t in queries.dtypes)
         if not self.count:
             return queries.sparkSession.createDataFrame([], schema)
-        asked = self.scratch.write(queries.mapInPandas(route, f"{kinds}, cell int, part int, from_centre double"), "asked")
+        asked = self.scratch.write(queries.mapInPandas(route, f"{kinds}, block int, part int, home int"), "asked")
         # one row a block that is asked
-        loads = asked.groupBy("cell", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERIES)).alias("groups"))
-        asked = asked.join(F.broadcast(loads), ["cell", "part"]).withColumn("dealt", F.pmod(F.xxhash64(F.col("id").cast("string")), F.col("groups"))).drop("groups")
-        rows = self.table.join(F.broadcast(loads), ["cell", "part"]).withColumn("dealt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
+        loads = asked.groupBy("block", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERIES)).alias("groups"))
+        asked = asked.join(F.broadcast(loads), ["block", "part"]).withColumn("dealt", F.pmod(F.xxhash64(F.col("id").cast("string")), F.col("groups"))).drop("groups")
+        rows = self.table.join(F.broadcast(loads), ["block", "part"]).withColumn("dealt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
 
         def both(rows: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
-            return search(rows.sort_values("away", ignore_index=True), some)
-
-        keys = ["cell", "part", "dealt"]
+            points, radius, _, _, cells = routes.value
+            if not len(rows) or not len(some):
+                return search(rows, some.assign(from_centre=0.0))
+            numbers = np.searchsorted(cells, np.sort(rows["cell"].unique()))
+            d = apart(np.stack(some["u"].to_numpy()), points[numbers])
+            wanted = opened(d, some["home"].to_numpy(), numbers, radius[numbers], some["reach"].to_numpy())
+            of = dict(tuple(rows.sort_values("away").groupby("cell")))
+            out = [search(of[cells[c]].reset_index(drop=True), some[wanted[:, k]].assign(from_centre=d[wanted[:, k], k])) for k, c in enumerate(numbers) if wanted[:, k].any()]
+            out = [found for found in out if len(found)]
+            return pd.concat(out, ignore_index=True) if out else search(rows[:0], some[:0].assign(from_centre=0.0))
+
+        keys = ["block", "part", "dealt"]
         return rows.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(both, schema)
 
 
@@ -157,15 +187,15 @@ def links(queries: DataFrame, stored: DataFrame, threshold: float, scratch: Scra
     def search(rows: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(rows) and len(some):
-            away, ids, u, scope = rows["away"].to_numpy(), rows["id"].to_numpy(), np.stack(rows["u"].to_numpy()), rows["scope"].to_numpy()
-            low = np.searchsorted(away, (some["from_centre"] - some["reach"]).to_numpy() - SLACK)
-            high = np.searchsorted(away, (some["from_centre"] + some["reach"]).to_numpy() + SLACK, "right")
+            ids, u, scope = rows["id"].to_numpy(), np.stack(rows["u"].to_numpy()), rows["scope"].to_numpy()
+            keys, asked, scopes = some["id"].to_numpy(), np.stack(some["u"].to_numpy()), some["scope"].to_numpy()
             group = np.arange(len(rows))
-            for key, q, s, a, z in zip(some["id"], some["u"], some["scope"], low.tolist(), high.tolist(), strict=True):
-                near = a + np.flatnonzero((u[a:z] @ q >= threshold - SLACK) & (scope[a:z] == s)) if a < z else []
-                if len(near):
+            for begin in range(0, len(some), 512):
+                close = asked[begin : begin + 512] @ u.T >= threshold - SLACK
+                for k in np.flatnonzero(close.any(axis=1)):
+                    near = np.flatnonzero(close[k] & (scope == scopes[begin + k]))
                     groups, first = np.unique(group[near], return_index=True)
-                    out += [(key, ids[near[k]]) for k in first if ids[near[k]] != key]
+                    out += [(keys[begin + k], ids[near[j]]) for j in first if ids[near[j]] != keys[begin + k]]
                     if len(groups) > 1:
                         group[np.isin(group, groups)] = groups[0]
         return pd.DataFrame(out, columns=["a", "b"])

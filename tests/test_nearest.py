@@ -119,3 +119,19 @@ def test_order_is_not_the_key(spark):
     assert {r.key: (r.decision, r.chiste_id) for r in got} == {"c": ("NUEVO", None), "b": ("CAMBIADO", "new:c"), "a": ("CAMBIADO", "new:c")}
     with pytest.raises(ValueError, match="depend"):
         reconcile.decide_in_order(none.selectExpr("id as key", "hash_normalizado as texto", "embedding"), none, "key", 0.0)
+
+
+def test_a_query_is_sent_to_a_block_once(spark):
+    stored, queries = clustered(1, 3000, spread=3.0), clustered(1, 3100, spread=3.0)[3000:]
+    sent = []
+
+    class Watched(Scratch):
+        def write(self, df, name):
+            out = super().write(df, name)
+            sent.extend([out.count()] if name == "asked" else [])
+            return out
+
+    with Watched(spark, "test") as scratch:
+        unit = lambda rows: nearest.units(spark.createDataFrame(rows, VECTORS), "id").withColumn("scope", F.lit(""))
+        nearest.links(unit(queries), unit(stored), 0.3, scratch).count()
+    assert sent == [len(queries)]
